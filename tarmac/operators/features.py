@@ -18,7 +18,7 @@ def category_index(df: DataFrame, column: str) -> DataFrame:
 
     ``slot`` is the one-hot position; the last level has none.
     """
-    levels = df.dropna(subset=[column]).groupBy(F.col(column).alias("level")).agg(
+    levels = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("level")).agg(
         F.count(F.lit(1)).alias("n")
     )
     numbered = number_rows(levels, [F.desc("n"), "level"], "_row")

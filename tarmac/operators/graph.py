@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.operators.joins import BROADCAST_ROWS, attach_scalars, broadcast_if_small
-from tarmac.session import cut
+from tarmac.session import cut, cut_by
 
 EDGES_PER_SLICE = 1_000_000
 LIST_SIZE = 100_000
@@ -133,8 +133,7 @@ def transition_probabilities(edges: DataFrame) -> DataFrame:
 
 def _lay_out(edges: DataFrame, degrees: DataFrame, per_slice: int, by: tuple[str, ...] = ()):
     """Store the edges partitioned by source and slice, so that no later join moves them."""
-    n = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return cut(_sliced(edges, degrees, per_slice, by).repartition(n, *by, "src", "_slice"))
+    return cut_by(_sliced(edges, degrees, per_slice, by), *by, "src", "_slice")
 
 
 def _send(edges: DataFrame, senders: DataFrame, by: tuple[str, ...], small: bool) -> DataFrame:
@@ -173,7 +172,7 @@ def pagerank(
     """
     by = tuple(by)
     merged = cut(weighted_edges(edges, by))
-    degrees = cut(out_degrees(merged, by))
+    degrees = out_degrees(merged, by)
     known = vertices_of(merged, by)
     if vertices is not None:
         known = known.unionByName(vertices.select(*by, "id")).distinct()
@@ -185,20 +184,25 @@ def pagerank(
             F.ceil(F.coalesce("out_degree", F.lit(0)) / F.lit(edges_per_slice)).alias("parts"),
         )
     )
-    small = state.count() <= broadcast_rows
+    n_vertices = state.count()
+    small = n_vertices <= broadcast_rows
     laid_out = merged if small else _lay_out(merged, degrees, edges_per_slice, by)
-    sizes = cut(state.groupBy(*by).agg(F.count(F.lit(1)).alias("n_vertices")))
-    few_graphs = not by or sizes.count() <= broadcast_rows
+    if by:
+        sizes = cut(state.groupBy(*by).agg(F.count(F.lit(1)).alias("n_vertices")))
+        few_graphs = sizes.count() <= broadcast_rows
 
-    def per_graph(rows: DataFrame, facts: DataFrame) -> DataFrame:
+    def with_size(rows: DataFrame) -> DataFrame:
         if not by:
-            return attach_scalars(rows, facts)
-        return rows.join(F.broadcast(facts) if few_graphs else facts, list(by))
+            return rows.withColumn("n_vertices", F.lit(n_vertices))
+        return rows.join(F.broadcast(sizes) if few_graphs else sizes, list(by))
+
+    def with_fact(rows: DataFrame, fact: DataFrame) -> DataFrame:
+        if not by:
+            return attach_scalars(rows, fact)
+        return rows.join(F.broadcast(fact) if few_graphs else fact, list(by))
 
     if scale == "probability":
-        state = per_graph(state, sizes).withColumn("rank", 1.0 / F.col("n_vertices")).drop(
-            "n_vertices"
-        )
+        state = with_size(state).withColumn("rank", 1.0 / F.col("n_vertices")).drop("n_vertices")
     dangling = F.sum(F.when(F.col("out_weight") == 0, F.col("rank")).otherwise(0.0))
     kept = [*by, "id", "out_weight", "parts"]
     for step in range(iterations):
@@ -217,8 +221,8 @@ def pagerank(
             )
         )
         if scale == "probability":
-            facts = per_graph(state.groupBy(*by).agg(dangling.alias("_lost")), sizes)
-            sums = per_graph(sums, facts)
+            lost = state.groupBy(*by).agg(dangling.alias("_lost"))
+            sums = with_size(with_fact(sums, lost))
             rank = alpha / F.col("n_vertices") + (1 - alpha) * (
                 F.col("_lost") / F.col("n_vertices") + F.col("_in")
             )
@@ -234,8 +238,9 @@ def pagerank(
             if widest is not None and widest <= tolerance:
                 break
     if rescale:
-        totals = per_graph(state.groupBy(*by).agg(F.sum("rank").alias("_sum")), sizes)
-        state = per_graph(cut(state), totals).withColumn(
+        state = cut(state)
+        totals = state.groupBy(*by).agg(F.sum("rank").alias("_sum"))
+        state = with_size(with_fact(state, totals)).withColumn(
             "rank", F.col("rank") * F.col("n_vertices") / F.col("_sum")
         )
     return state.select(*by, "id", "rank")
@@ -262,7 +267,7 @@ def power_iteration(
     matrix = cut(probabilities.withColumnRenamed("probability", "weight"))
     everyone = cut(vertices_of(matrix))
     small = everyone.count() <= broadcast_rows
-    degrees = cut(out_degrees(matrix))
+    degrees = out_degrees(matrix)
     slices = degrees.select(
         F.col("id").alias("src"),
         F.ceil(F.col("out_degree") / F.lit(edges_per_slice)).alias("parts"),

@@ -16,7 +16,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarmac.operators.joins import same_keys
+from tarmac.operators.joins import attach_scalars, broadcast_if_small, same_keys
 from tarmac.session import cut, stage
 
 ROWS_PER_TASK = 2_000_000
@@ -140,29 +140,33 @@ def moving_average(
 
 def exact_percentiles(
     df: DataFrame, value: str, fractions: Mapping[str, float], by: list[str] | None = None,
-    distinct_per_task: int = DISTINCT_PER_TASK,
+    also: list[Column] | None = None, distinct_per_task: int = DISTINCT_PER_TASK,
 ) -> DataFrame:
     """Exact interpolated percentiles, optionally per group; nulls are left out.
 
+    ``also`` are further aggregates to compute on the way.
+
     The built-in ``percentile`` keeps a map of the distinct values of a group in one task. It is
     used where an estimate shows that the map is small. Otherwise the distinct values are counted
     first, sorted over all tasks, and the wanted ranks are read off the running counts.
     """
     by = by or []
-    present = df.filter(F.col(value).isNotNull())
+    also = also or []
     widest = (
-        present.groupBy(*by)
+        df.groupBy(*by)
         .agg(F.approx_count_distinct(value).alias("_distinct"))
         .agg(F.max("_distinct"))
         .first()[0]
     )
     if (widest or 0) <= distinct_per_task:
         shares = F.array(*[F.lit(float(p)) for p in fractions.values()])
-        return present.groupBy(*by).agg(F.percentile(value, shares).alias("_p")).select(
-            *by, *[F.col("_p")[i].alias(name) for i, name in enumerate(fractions)]
+        found = df.groupBy(*by).agg(F.percentile(value, shares).alias("_p"), *also)
+        return found.select(
+            *[c for c in found.columns if c != "_p"],
+            *[F.col("_p")[i].alias(name) for i, name in enumerate(fractions)],
         )
 
-    counted = present.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
+    counted = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
     rows = _staged_in_order(counted, [*by, value])
     sums = rows.groupBy("_slice").agg(F.sum("_n").alias("_sum"))
     running = Window.partitionBy("_slice").orderBy("_at")
@@ -173,13 +177,12 @@ def exact_percentiles(
         F.min(F.col("_upto") - F.col("_n")).alias("_start"), F.sum("_n").alias("_size")
     )
     if by:
-        groups = cut(groups)
-        hint = F.broadcast(groups) if groups.count() <= distinct_per_task else groups
-        ranked = upto.join(hint, same_keys(upto, hint, by)).select(
+        groups = broadcast_if_small(cut(groups))
+        ranked = upto.join(groups, same_keys(upto, groups, by)).select(
             *[upto[key] for key in by], value, "_n", "_upto", "_start", "_size"
         )
     else:
-        ranked = upto.crossJoin(F.broadcast(groups))
+        ranked = attach_scalars(upto, groups)
     last = F.col("_upto") - F.col("_start") - 1
     first = last - F.col("_n") + 1
 
@@ -194,7 +197,7 @@ def exact_percentiles(
             at(F.ceil(rank)).alias(f"_hi_{name}"),
             F.max(rank - F.floor(rank)).alias(f"_part_{name}"),
         ]
-    return ranked.groupBy(*by).agg(*wanted).select(
+    percentiles = ranked.groupBy(*by).agg(*wanted).select(
         *by,
         *[
             (F.col(f"_lo_{n}") + (F.col(f"_hi_{n}") - F.col(f"_lo_{n}")) * F.col(f"_part_{n}"))
@@ -202,6 +205,12 @@ def exact_percentiles(
             for n in fractions
         ],
     )
+    groups = df.groupBy(*by).agg(*(also or [F.lit(1).alias("_one")]))
+    whole = groups.join(percentiles, same_keys(groups, percentiles, by), "left")
+    return whole.select(
+        *[groups[c] for c in groups.columns if c != "_one"],
+        *[percentiles[name] for name in fractions],
+    )
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Averages, rates, null and distribution profiles; each reads its table once."""
+"""Averages, rates, null and distribution profiles."""
 
 from __future__ import annotations
 
@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.functions.text import numeric_text
-from tarmac.operators.joins import attach_scalars, same_keys
+from tarmac.operators.clean import complete_rows
+from tarmac.operators.joins import attach_scalars
 from tarmac.operators.ordered import exact_percentiles, moving_average
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
@@ -19,7 +20,7 @@ def averages_by(
 ) -> DataFrame:
     """Average of every measure per key; rows with a null key are left out."""
     keys = [keys] if isinstance(keys, str) else keys
-    rows = df.dropna(subset=keys)
+    rows = complete_rows(df, keys)
     if keep is not None:
         rows = rows.filter(keep)
     return rows.groupBy(*keys).agg(*[F.avg(m).alias(f"avg_{m}") for m in measures])
@@ -31,10 +32,10 @@ def averages_for_each(df: DataFrame, keys: list[str], measure: str) -> DataFrame
     Every row is offered once per key to the partial aggregate of its own task, so the shuffle
     carries only one row per key value and task.
     """
-    pairs = [F.struct(F.lit(k).alias("key"), F.col(k).cast("string").alias("value")) for k in keys]
     return (
-        df.select(F.col(measure).alias("_measure"), F.inline(F.array(*pairs)))
-        .dropna(subset=["value"])
+        df.select(F.col(measure).alias("_measure"), *[F.col(k).cast("string") for k in keys])
+        .unpivot("_measure", keys, "key", "value")
+        .filter(F.col("value").isNotNull())
         .groupBy("key", "value")
         .agg(F.avg("_measure").alias(f"avg_{measure}"), F.count(F.lit(1)).alias("n"))
     )
@@ -65,7 +66,7 @@ def counts_by(df: DataFrame, keys: list[str]) -> DataFrame:
 
 def status_rates(df: DataFrame, key: Column, status: Column, name: str = "key") -> DataFrame:
     """Per key, the percentage of every status out of all rows of the key."""
-    rows = df.select(key.alias(name), status.alias("_status")).dropna(subset=[name])
+    rows = df.select(key.alias(name), status.alias("_status")).filter(F.col(name).isNotNull())
 
     def percent(value: str) -> Column:
         return F.count_if(F.col("_status") == value) * 100.0 / F.count(F.lit(1))
@@ -101,13 +102,7 @@ def moments(column: str) -> list[Column]:
 
 def summary(df: DataFrame, column: str, by: list[str] | None = None) -> DataFrame:
     """Count, mean, sample deviation, extremes and exact quartiles, optionally per group."""
-    quartiles = exact_percentiles(df, column, QUARTILES, by)
-    if not by:
-        return attach_scalars(df.agg(*moments(column)), quartiles)
-    rows = df.groupBy(*by).agg(*moments(column))
-    return rows.join(quartiles, same_keys(rows, quartiles, by), "left").select(
-        *[rows[c] for c in rows.columns], *QUARTILES
-    )
+    return exact_percentiles(df, column, QUARTILES, by, also=moments(column))
 
 
 def box_stats(df: DataFrame, column: str, by: list[str] | None = None) -> DataFrame:
@@ -139,7 +134,7 @@ def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
         F.least(F.floor((value - F.col("_lo")) / F.when(width != 0, width)), F.lit(bins - 1))
     )
     return (
-        attach_scalars(df.select(column).dropna(), spread)
+        attach_scalars(complete_rows(df.select(column)), spread)
         .groupBy(place.cast("int").alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"))
     )

@@ -273,8 +273,8 @@ def clipped_delay(spark, folder):
 
 
 _CODES_SQL = "'GR|GS|VA|DU|SA|PO|SQ|FC|SS|DS'"
-# Full upper-casing turns a sharp s into SS, which the SQL engine's upper() leaves alone.
-_UPPER_SQL = "replace(upper({0}), 'ß', 'SS')"
+# Full upper-casing turns a sharp s into SS; the SQL engine's upper() does not.
+_UPPER_SQL = "upper(replace({0}, 'ß', 'SS'))"
 
 QUERIES = {
     "typed_projection": Query(typed_projection, f"""

@@ -233,10 +233,10 @@ def _chunk_rows(spark, folder):
          F.col("l_linenumber") / F.lit(60.0)],
     )
     rows = scaled.withColumn("vector", vector)
-    return cut(graph.chunk_edges(
+    return graph.chunk_edges(
         rows, time_chunk(F.col("l_shipdate"), 24), "origin", "dest",
         [F.col("vector")[i] for i in range(8)],
-    ))
+    )
 
 
 _CHUNKS_SQL = f"""
@@ -267,19 +267,19 @@ def sparse_coords(spark, folder):
 
 
 def chunk_node_target(spark, folder):
-    chunks = _chunk_rows(spark, folder)
+    chunks = cut(_chunk_rows(spark, folder))
     return rounded(graph.chunk_targets(chunks, "f6", _vertex_total(chunks)), "target")
 
 
 def chunk_next_pairs(spark, folder):
-    chunks = _chunk_rows(spark, folder)
+    chunks = cut(_chunk_rows(spark, folder))
     targets = graph.chunk_targets(chunks, "f6", _vertex_total(chunks))
     pairs = graph.next_chunk_pairs(chunks, targets)
     return rounded(pairs, *_FEATURES, "target")
 
 
 def chunk_sparsity(spark, folder):
-    chunks = _chunk_rows(spark, folder)
+    chunks = cut(_chunk_rows(spark, folder))
     targets = graph.chunk_targets(chunks, "f6", _vertex_total(chunks))
     return rounded(
         graph.chunk_sparsity(chunks, targets, _FEATURES), "mean_cells", "mean_targets")

@@ -45,14 +45,27 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and cut its lineage with a reliable checkpoint.
-
-    Keeps the physical partitioning, so a later join on the same keys needs no shuffle.
-    """
+    """Compute ``df`` once and cut its lineage with a reliable checkpoint."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def cut_by(df: DataFrame, *columns: str) -> DataFrame:
+    """A checkpoint hash-partitioned and sorted by the columns.
+
+    Later joins on all the columns neither shuffle nor sort it again. An adaptive plan does not
+    tell its partitioning, so adaptive execution is off for the one job that stores the rows.
+    """
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return cut(df.repartition(n, *columns).sortWithinPartitions(*columns))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Compute ``df`` once into a Parquet table in the shared folder and read it back.
 
