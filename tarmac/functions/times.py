@@ -22,7 +22,8 @@ def scheduled_timestamp(date: Column, hhmm: Column) -> Column:
 
     Unreadable text becomes null.
     """
-    padded = F.lpad(F.trim(hhmm), 4, "0")
+    text = F.trim(hhmm)
+    padded = F.when(text != "", F.lpad(text, 4, "0"))
     clock = F.when(padded == "2400", "0000").otherwise(padded)
     parsed = F.try_to_timestamp(F.concat_ws(" ", date, clock), F.lit("yyyy-MM-dd HHmm"))
     return F.when(padded == "2400", parsed + F.expr("INTERVAL 1 DAY")).otherwise(parsed)

@@ -119,16 +119,28 @@ def adjacency_matrix(edges: DataFrame, vertices: DataFrame) -> DataFrame:
     return rows.fillna(0, subset=[str(n) for n in names])
 
 
-def transition_probabilities(edges: DataFrame) -> DataFrame:
+def transition_probabilities(
+    edges: DataFrame, edges_per_slice: int = EDGES_PER_SLICE,
+    broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
     """Edge weight over the weight of all edges of its source; dangling vertices have no row.
 
-    The source totals are aggregated and joined back. A window would gather a source with very
-    many edges in one task.
+    The source totals are aggregated and joined back: a window would gather a source with very
+    many edges in one task. Too many totals to broadcast meet the edges slice by slice.
     """
-    totals = cut(out_degrees(edges).select(F.col("id").alias("src"), "out_weight"))
-    return edges.join(broadcast_if_small(totals), "src").select(
-        "src", "dst", (F.col("weight") / F.col("out_weight")).alias("probability")
-    )
+    stored = cut(edges)
+    totals = cut(out_degrees(stored))
+    if totals.count() <= broadcast_rows:
+        known = totals.select(F.col("id").alias("src"), "out_weight")
+        met = stored.join(F.broadcast(known), "src")
+    else:
+        parts = F.ceil(F.col("out_degree") / F.lit(edges_per_slice))
+        known = totals.select(
+            F.col("id").alias("src"), "out_weight",
+            F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("_slice"),
+        )
+        met = _sliced(stored, totals, edges_per_slice).join(known, ["src", "_slice"])
+    return met.select("src", "dst", (F.col("weight") / F.col("out_weight")).alias("probability"))
 
 
 def _lay_out(edges: DataFrame, degrees: DataFrame, per_slice: int, by: tuple[str, ...] = ()):
