@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator
 from pyspark.ml.classification import MultilayerPerceptronClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, Evaluator, RegressionEvaluator
+from pyspark.ml.evaluation import (
+    BinaryClassificationEvaluator, Evaluator, MulticlassClassificationEvaluator,
+    RegressionEvaluator,
+)
 from pyspark.ml.regression import (
     GBTRegressor, GeneralizedLinearRegression, LinearRegression, LinearRegressionModel,
 )
@@ -15,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.operators.ordered import number_rows
-from tarmac.operators.splits import fold_bounds, fold_rows
+from tarmac.operators.splits import Fold, fold_bounds, fold_rows
 
 # Hidden layers of the classifiers, and their solver settings.
 HIDDEN_LAYERS = ((2,), (4,), (2, 2), (4, 2), (5, 4))
@@ -23,6 +28,8 @@ MLP_ITERATIONS, MLP_BLOCK, MLP_SEED = 100, 128, 1234
 # Settings of the boosted trees and the regularisation grid.
 TREE_DEPTH, TREE_COUNT, LEARNING_RATE = 6, 150, 0.2
 REGULARISATION = (0.01, 0.1, 1.0)
+# Fits that the driver submits at a time, so that small stages of one fill the gaps of another.
+FITS_AT_ONCE = 4
 
 
 def linear(label: str, features: str = "features", **params) -> LinearRegression:
@@ -64,6 +71,11 @@ def rmse(label: str) -> RegressionEvaluator:
     return RegressionEvaluator(labelCol=label, metricName="rmse")
 
 
+def _at_once(task: Callable, items: list) -> list:
+    with ThreadPoolExecutor(FITS_AT_ONCE) as pool:
+        return list(pool.map(inheritable_thread_target(task), items))
+
+
 def _marked_best(rows: list[tuple], schema: str, larger: bool, source: DataFrame) -> DataFrame:
     """Result rows, the best one flagged in the direction of the metric."""
     scores = [row[-1] for row in rows]
@@ -80,18 +92,16 @@ def fold_scores(
 
     ``prepare`` (encoders, scalers) is fitted on the training rows of each fold.
     """
-    numbered = number_rows(df, order).persist()
-    try:
-        rows = []
-        for fold in fold_bounds(numbered.count(), folds, scheme):
-            train, valid = fold_rows(numbered, fold)
-            if prepare is not None:
-                fitted = prepare.fit(train)
-                train, valid = fitted.transform(train), fitted.transform(valid)
-            score = evaluator.evaluate(estimator.fit(train).transform(valid))
-            rows.append((fold.fold, score))
-    finally:
-        numbered.unpersist()
+    numbered = number_rows(df, order)
+
+    def score(fold: Fold) -> tuple:
+        train, valid = fold_rows(numbered, fold)
+        if prepare is not None:
+            fitted = prepare.fit(train)
+            train, valid = fitted.transform(train), fitted.transform(valid)
+        return fold.fold, evaluator.evaluate(estimator.fit(train).transform(valid))
+
+    rows = _at_once(score, fold_bounds(numbered.count(), folds, scheme))
     return _marked_best(rows, "fold int", evaluator.isLargerBetter(), df)
 
 
@@ -109,11 +119,13 @@ def grid_scores(
 ) -> DataFrame:
     """Fit one model per setting and score it on the validation rows; one row per setting."""
     train, valid = train.persist(), valid.persist()
+
+    def score(setting: dict) -> tuple:
+        fitted = build(**setting).fit(train)
+        return str(setting), evaluator.evaluate(fitted.transform(valid))
+
     try:
-        rows = [
-            (str(setting), evaluator.evaluate(build(**setting).fit(train).transform(valid)))
-            for setting in grid
-        ]
+        rows = _at_once(score, grid)
     finally:
         train.unpersist()
         valid.unpersist()
@@ -127,7 +139,7 @@ def kfold_scores(
     """Mean score of every parameter map over random folds."""
     fitted = CrossValidator(
         estimator=estimator, estimatorParamMaps=grid, evaluator=evaluator, numFolds=folds,
-        seed=seed,
+        seed=seed, parallelism=FITS_AT_ONCE,
     ).fit(df)
     rows = [
         (str({p.name: v for p, v in setting.items()}), float(score))
@@ -160,12 +172,19 @@ def extreme_coefficients(table: DataFrame, k: int = 10, by: str = "magnitude") -
     return top.unionByName(low)
 
 
-def area_scores(scored: DataFrame, label: str) -> DataFrame:
-    """Area under the ROC and the precision-recall curve."""
+def area_scores(scored: DataFrame, label: str, score: str = "rawPrediction") -> DataFrame:
+    """Exact area under the ROC and the precision-recall curve."""
     values = [
-        float(BinaryClassificationEvaluator(labelCol=label, metricName=name).evaluate(scored))
+        float(BinaryClassificationEvaluator(
+            labelCol=label, rawPredictionCol=score, metricName=name, numBins=0
+        ).evaluate(scored))
         for name in ("areaUnderROC", "areaUnderPR")
     ]
     return scored.sparkSession.createDataFrame([tuple(values)], "area_roc double, area_pr double")
 
 
+def f3_of_positives(label: str) -> MulticlassClassificationEvaluator:
+    """F-beta of class 1 with beta 3, for use in grids and folds."""
+    return MulticlassClassificationEvaluator(
+        labelCol=label, metricName="fMeasureByLabel", metricLabel=1.0, beta=3.0
+    )

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from tarmac.functions import numbers, text, times
 from tarmac.functions.holidays import is_us_holiday
 from tarmac.operators import clean, profile
-from tarmac.plans.common import GAPPY_SQL, Query, gappy_events, rounded, table
+from tarmac.plans.common import GAPPY_SQL, Query, gappy_events, rounded, shipments, table
 from tarmac.sources.schemas import conform, rejects
 
 _EVENT_TYPES = T.StructType([
@@ -263,11 +263,8 @@ def cap_at_percentile(spark, folder):
 
 def clipped_delay(spark, folder):
     """Late days of an order's lines, early ones counted as 0."""
-    lines = table(spark, folder, "lineitem")
-    orders = table(spark, folder, "orders")
     days = F.datediff("l_shipdate", "o_orderdate")
-    joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    return joined.groupBy("o_orderpriority").agg(
+    return shipments(spark, folder).groupBy("o_orderpriority").agg(
         F.round(F.avg(numbers.clip_at_zero(days.cast("double"))), 6).alias("avg_late"),
         F.count_if(days <= 0).alias("on_time"))
 

@@ -29,21 +29,25 @@ def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
-def trips(spark: SparkSession, folder: str) -> DataFrame:
-    """Line items as trips from the supplier's nation to the customer's nation."""
+def shipments(spark: SparkSession, folder: str) -> DataFrame:
+    """Line items with their orders."""
     lines = table(spark, folder, "lineitem")
     orders = table(spark, folder, "orders")
+    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+
+
+SHIPMENTS_SQL = "SELECT * FROM lineitem JOIN orders ON l_orderkey = o_orderkey"
+
+
+def trips(spark: SparkSession, folder: str) -> DataFrame:
+    """Line items as trips from the supplier's nation to the customer's nation."""
     customers = table(spark, folder, "customer").select(
         F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("dest")
     )
     suppliers = table(spark, folder, "supplier").select(
         F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("origin")
     )
-    return (
-        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(customers, "o_custkey")
-        .join(suppliers, "l_suppkey")
-    )
+    return shipments(spark, folder).join(customers, "o_custkey").join(suppliers, "l_suppkey")
 
 
 TRIPS_SQL = """

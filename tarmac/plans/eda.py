@@ -10,7 +10,7 @@ from tarmac.operators import profile
 from tarmac.operators.clean import status_of
 from tarmac.operators.ordered import exact_percentiles
 from tarmac.plans.common import (
-    GAPPY_SQL, TRIPS_SQL, Query, gappy_events, rounded, table, trips,
+    GAPPY_SQL, SHIPMENTS_SQL, Query, gappy_events, rounded, shipments, table,
 )
 from tarmac.sources.tables import table_size
 
@@ -40,9 +40,9 @@ def smoothed_avg_by_date(spark, folder):
 
 
 def smoothed_avg_by_measure(spark, folder):
-    trip_rows = trips(spark, folder).withColumn("delay", F.datediff("l_shipdate", "o_orderdate"))
+    rows = shipments(spark, folder).withColumn("delay", F.datediff("l_shipdate", "o_orderdate"))
     smoothed = profile.smoothed_averages(
-        trip_rows, "l_extendedprice", "delay", 100, F.col("o_orderstatus") != "F"
+        rows, "l_extendedprice", "delay", 100, F.col("o_orderstatus") != "F"
     )
     return rounded(smoothed, "avg_delay", "moving_avg")
 
@@ -229,6 +229,15 @@ SELECT {key}, count(*) AS total,
 FROM e GROUP BY {group}"""
 
 
+def rate_boxes_by_hour(spark, folder):
+    """Spread, within every hour, of the cancellation rates of its single minutes."""
+    by_time = profile.status_rates(
+        _clock_events(spark, folder), F.col("hhmm"), F.col("status"), "hhmm")
+    by_hour = by_time.withColumn("hour", hour_of_hhmm(F.col("hhmm")))
+    stats = profile.box_stats(by_hour, "pct_cancelled", ["hour"])
+    return rounded(stats, "min", "p25", "p50", "p75", "max")
+
+
 def share_over_threshold(spark, folder):
     events = table(spark, folder, "events")
     return events.select("event_type", over_threshold(F.col("value")).alias("late")).groupBy(
@@ -259,7 +268,7 @@ SELECT day, round(v, 6) AS avg_value,
        CASE WHEN count(*) OVER w = 5 THEN round(avg(v) OVER w, 6) END AS moving_avg
 FROM a WINDOW w AS (ORDER BY day ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)"""),
     "smoothed_avg_by_measure": Query(smoothed_avg_by_measure, f"""
-WITH t AS ({TRIPS_SQL}),
+WITH t AS ({SHIPMENTS_SQL}),
 a AS (SELECT l_extendedprice,
         avg(date_diff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE))) AS v
       FROM t WHERE o_orderstatus <> 'F' GROUP BY 1)
@@ -328,6 +337,14 @@ SELECT max(ts) AS latest, greatest(max(user_id), max(event_id)) AS top,
             group="1, 2",
         ),
     ),
+    "rate_boxes_by_hour": Query(rate_boxes_by_hour, """
+WITH e AS (SELECT hour(ts) * 100 + minute(ts) AS t, event_type FROM events),
+r AS (SELECT t, count(*) FILTER (WHERE event_type = 'error') * 100.0::DOUBLE / count(*) AS p
+      FROM e GROUP BY 1)
+SELECT CAST(floor(t / 100.0) AS INT) AS hour, round(min(p), 6) AS min,
+       round(quantile_cont(p, 0.25), 6) AS p25, round(quantile_cont(p, 0.5), 6) AS p50,
+       round(quantile_cont(p, 0.75), 6) AS p75, round(max(p), 6) AS max
+FROM r GROUP BY 1"""),
     "share_over_threshold": Query(share_over_threshold, """
 SELECT event_type, round(avg(CASE WHEN value > 15 THEN 1 ELSE 0 END), 6) AS late_share
 FROM events GROUP BY 1"""),

@@ -11,7 +11,7 @@ from tarmac.functions.numbers import over_threshold
 from tarmac.operators import features, metrics, models
 from tarmac.operators.clean import split_at
 from tarmac.plans.common import Query, rounded, table
-from tarmac.session import cut
+from tarmac.session import cut, spread
 
 _CATEGORIES = ["l_returnflag", "l_linestatus"]
 _NUMBERS = ["l_quantity", "l_discount", "l_tax"]
@@ -31,7 +31,7 @@ def _train_test(spark, folder):
 
 def _encoded(spark, folder):
     """Train and test rows with a feature vector fitted on the training rows."""
-    train, test = _train_test(spark, folder)
+    train, test = (spread(part) for part in _train_test(spark, folder))
     fitted = features.encoder(_CATEGORIES, _NUMBERS).fit(train)
     return fitted.transform(train), fitted.transform(test)
 
@@ -160,24 +160,55 @@ _BINARY_COLUMNS = """tp, fp, fn, tn,
        round(tp / (tp + 0.1::DOUBLE * fp + 0.9::DOUBLE * fn), 6) AS f_beta_binary"""
 
 
+def _one_feature(spark, folder):
+    """Train and test rows with the quantity as the only feature."""
+    assembler = VectorAssembler(inputCols=["l_quantity"], outputCol="features")
+    return [assembler.transform(part) for part in _train_test(spark, folder)]
+
+
 def linear_fit(spark, folder):
-    lines = _lines(spark, folder)
-    rows = VectorAssembler(inputCols=["l_quantity"], outputCol="features").transform(lines)
-    model = models.linear(_LABEL).fit(rows)
+    train, _ = _one_feature(spark, folder)
+    model = models.linear(_LABEL).fit(train)
     return spark.createDataFrame(
         [(round(float(model.coefficients[0]), 4), round(float(model.intercept), 4))],
         "slope double, intercept double")
 
 
 def linear_summary(spark, folder):
-    train, _ = _encoded(spark, folder)
-    return models.training_summary(models.linear(_LABEL).fit(train), train)
+    train, _ = _one_feature(spark, folder)
+    summary = models.training_summary(models.linear(_LABEL).fit(train), train)
+    return rounded(summary, "mae", "rmse", digits=4)
+
+
+_METRICS = ["rmse", "mae", "mse", "rmsle", "mape"]
 
 
 def linear_holdout(spark, folder):
-    train, test = _encoded(spark, folder)
-    return metrics.regression_metrics(
-        models.linear(_LABEL).fit(train).transform(test), _LABEL)
+    train, test = _one_feature(spark, folder)
+    scores = metrics.regression_metrics(models.linear(_LABEL).fit(train).transform(test), _LABEL)
+    return rounded(scores, *_METRICS, digits=3)
+
+
+def glm_tweedie(spark, folder):
+    """Variance power 0 with its canonical identity link, which is least squares again."""
+    train, test = _one_feature(spark, folder)
+    scores = metrics.regression_metrics(models.tweedie(_LABEL, 0.0).fit(train).transform(test),
+                                        _LABEL)
+    return rounded(scores, *_METRICS, digits=3)
+
+
+_FIT_SQL = f"""
+f AS (SELECT regr_slope({_LABEL}, l_quantity) AS a, regr_intercept({_LABEL}, l_quantity) AS c
+      FROM lineitem WHERE l_shipdate <= TIMESTAMP '{_CUTOFF}')"""
+_HOLDOUT_SQL = f"""
+WITH {_FIT_SQL},
+s AS (SELECT {_LABEL} AS y, a * l_quantity + c AS p FROM lineitem, f
+      WHERE l_shipdate > TIMESTAMP '{_CUTOFF}')
+SELECT round(sqrt(avg((y - p) * (y - p))), 3) AS rmse, round(avg(abs(y - p)), 3) AS mae,
+       round(avg((y - p) * (y - p)), 3) AS mse,
+       round(sqrt(avg(pow(ln(1 + y) - ln(1 + greatest(p, 0)), 2))), 3) AS rmsle,
+       round(avg(abs((y - p) / nullif(y, 0))), 3) AS mape
+FROM s"""
 
 
 def lasso_fit(spark, folder):
@@ -204,30 +235,53 @@ def without_numbers_fit(spark, folder):
     return metrics.regression_metrics(model.transform(kept), _LABEL)
 
 
-def glm_tweedie(spark, folder):
-    train, test = _encoded(spark, folder)
-    model = models.tweedie(_LABEL, 0.0).fit(train)
-    return metrics.regression_metrics(model.transform(test), _LABEL)
+_ORDER = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
+          _LABEL]
 
 
 def _cv(spark, folder, scheme):
+    rows = VectorAssembler(inputCols=["l_quantity"], outputCol="features").transform(
+        _lines(spark, folder))
     return models.fold_scores(
-        _lines(spark, folder),
-        ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"],
-        models.linear(_LABEL), models.rmse(_LABEL), 5, scheme,
-        features.encoder(_CATEGORIES, _NUMBERS))
+        rows, _ORDER, models.linear(_LABEL), models.rmse(_LABEL), 5, scheme)
 
 
 def linear_cv(spark, folder):
-    return _cv(spark, folder, "rolling")
+    return rounded(_cv(spark, folder, "rolling"), "metric", digits=4)
 
 
 def linear_cv_blocked(spark, folder):
-    return _cv(spark, folder, "blocked")
+    return rounded(_cv(spark, folder, "blocked"), "metric", digits=4)
 
 
 def linear_cv_average(spark, folder):
-    return models.fold_average(_cv(spark, folder, "rolling"))
+    averages = models.fold_average(_cv(spark, folder, "rolling"))
+    return rounded(averages, "avg_metric", "best_metric", digits=4)
+
+
+def _cv_sql(train, valid):
+    return f"""
+WITH r AS (SELECT l_quantity AS x, {_LABEL} AS y,
+             row_number() OVER (ORDER BY {", ".join(_ORDER)}) AS i FROM lineitem),
+n AS (SELECT count(*) AS n FROM r), k AS (SELECT CAST(unnest([1, 2, 3, 4, 5]) AS INT) AS fold),
+b AS (SELECT fold, (fold - 1) * n // 6 AS begin, fold * n // 6 AS stop, n // 6 AS size,
+        3 * n // 60 AS short FROM k, n),
+f AS (SELECT fold, regr_slope(y, x) AS a, regr_intercept(y, x) AS c FROM r, b
+      WHERE {train} GROUP BY 1),
+s AS (SELECT fold, sqrt(avg(pow(y - a * x - c, 2))) AS m FROM r, b JOIN f USING (fold)
+      WHERE {valid} GROUP BY 1),
+o AS (SELECT fold, round(m, 4) AS metric, m = (SELECT min(m) FROM s) AS best, m FROM s)"""
+
+
+_ROLLING_SQL = _cv_sql("i <= stop", "i > stop AND i <= stop + size")
+_BLOCKED_SQL = _cv_sql("i >= begin AND i < stop", "i >= stop AND i <= stop + short")
+
+
+def encoded_cv(spark, folder):
+    """Folds with encoders and scalers fitted on the training rows of each fold."""
+    return models.fold_scores(
+        _lines(spark, folder), _ORDER, models.linear(_LABEL), models.rmse(_LABEL), 5, "rolling",
+        features.encoder(_CATEGORIES, _NUMBERS))
 
 
 def kfold_grid(spark, folder):
@@ -261,13 +315,45 @@ def mlp_fit(spark, folder):
     return metrics.weighted_scores(counts).crossJoin(metrics.binary_scores(counts))
 
 
-def auc_scores(spark, folder):
+def mlp_shapes(spark, folder):
+    """F3 of every hidden layout."""
+    train, test = (_late(df) for df in _encoded(spark, folder))
+    width = len(features.slot_names(train, "features"))
+    return models.grid_scores(
+        train, test, [{"hidden": layout} for layout in models.HIDDEN_LAYERS],
+        lambda hidden: models.perceptron("label", width, hidden, iterations=15),
+        models.f3_of_positives("label"))
+
+
+def mlp_areas(spark, folder):
     train, test = (_late(df) for df in _encoded(spark, folder))
     width = len(features.slot_names(train, "features"))
     model = models.perceptron("label", width, (2,), iterations=30).fit(train)
     return models.area_scores(model.transform(test), "label")
 
 
+def auc_scores(spark, folder):
+    """How well the length of a text separates the quality labels."""
+    docs = table(spark, folder, "documents").select("doc_id", "n_chars")
+    scored = table(spark, folder, "labels").join(docs, "doc_id").select(
+        F.col("quality").cast("double").alias("label"),
+        F.col("n_chars").cast("double").alias("score"))
+    return rounded(models.area_scores(scored, "label", "score"), "area_roc", "area_pr")
+
+
+_AREAS_SQL = """
+WITH c AS (SELECT n_chars AS s, sum(quality)::DOUBLE AS p, (count(*) - sum(quality))::DOUBLE AS n
+  FROM labels JOIN documents USING (doc_id) GROUP BY 1),
+t AS (SELECT sum(p) AS pos, sum(n) AS neg FROM c),
+u AS (SELECT s, sum(p) OVER w AS tp, sum(n) OVER w AS fp FROM c
+  WINDOW w AS (ORDER BY s DESC ROWS UNBOUNDED PRECEDING)),
+q AS (SELECT s, tp / pos AS r, fp / neg AS f, tp / (tp + fp) AS pr FROM u, t),
+l AS (SELECT *, lag(r, 1, 0.0) OVER w AS r0, lag(f, 1, 0.0) OVER w AS f0,
+        coalesce(lag(pr) OVER w, pr) AS pr0 FROM q WINDOW w AS (ORDER BY s DESC))
+SELECT round(sum((f - f0) * (r + r0) / 2), 6) AS area_roc,
+       round(sum((r - r0) * (pr + pr0) / 2), 6) AS area_pr FROM l"""
+
+
 QUERIES = {
     "category_index": Query(category_index, """
 WITH l AS (SELECT p_brand AS level, count(*) AS n FROM part GROUP BY 1),
@@ -313,21 +399,31 @@ FROM j GROUP BY 1, 2"""),
     "always_late_baseline": Query(always_late_baseline, f"""
 WITH j AS (SELECT CASE WHEN {_LABEL} > 50000 THEN 1 ELSE 0 END AS y, 1 AS p FROM lineitem),
 {_scores_sql('j')} SELECT {_WEIGHTED_COLUMNS}, {_BINARY_COLUMNS} FROM a, z"""),
-    "linear_fit": Query(linear_fit, f"""
-SELECT round(regr_slope({_LABEL}, l_quantity), 4) AS slope,
-       round(regr_intercept({_LABEL}, l_quantity), 4) AS intercept FROM lineitem"""),
-    "linear_summary": Query(linear_summary),
-    "linear_holdout": Query(linear_holdout),
+    "linear_fit": Query(
+        linear_fit,
+        f"WITH {_FIT_SQL} SELECT round(a, 4) AS slope, round(c, 4) AS intercept FROM f"),
+    "linear_summary": Query(linear_summary, f"""
+WITH {_FIT_SQL}
+SELECT round(avg(abs({_LABEL} - a * l_quantity - c)), 4) AS mae,
+       round(sqrt(avg(pow({_LABEL} - a * l_quantity - c, 2))), 4) AS rmse, count(*) AS residuals
+FROM lineitem, f WHERE l_shipdate <= TIMESTAMP '{_CUTOFF}'"""),
+    "linear_holdout": Query(linear_holdout, _HOLDOUT_SQL),
+    "glm_tweedie": Query(glm_tweedie, _HOLDOUT_SQL),
+    "linear_cv": Query(linear_cv, f"{_ROLLING_SQL} SELECT fold, metric, best FROM o"),
+    "linear_cv_blocked": Query(
+        linear_cv_blocked, f"{_BLOCKED_SQL} SELECT fold, metric, best FROM o"),
+    "linear_cv_average": Query(linear_cv_average, f"""{_ROLLING_SQL}
+SELECT round(avg(m), 4) AS avg_metric, arg_min(fold, m) AS best_fold,
+       round(min(m), 4) AS best_metric FROM o"""),
+    "auc_scores": Query(auc_scores, _AREAS_SQL),
+    "encoded_cv": Query(encoded_cv),
     "lasso_fit": Query(lasso_fit),
     "coef_topk": Query(coef_topk),
     "without_numbers_fit": Query(without_numbers_fit),
-    "glm_tweedie": Query(glm_tweedie),
-    "linear_cv": Query(linear_cv),
-    "linear_cv_blocked": Query(linear_cv_blocked),
-    "linear_cv_average": Query(linear_cv_average),
     "kfold_grid": Query(kfold_grid),
     "gbt_fit": Query(gbt_fit),
     "grid_search": Query(grid_search),
     "mlp_fit": Query(mlp_fit),
-    "auc_scores": Query(auc_scores),
+    "mlp_shapes": Query(mlp_shapes),
+    "mlp_areas": Query(mlp_areas),
 }

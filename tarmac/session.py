@@ -75,3 +75,12 @@ def stage(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(spark)}/staged-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores, for a job that passes over them many times.
+
+    Only where the table lies in fewer files than there are cores; a large one stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if len(df.inputFiles()) >= cores else df.repartition(cores)
