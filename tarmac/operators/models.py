@@ -16,7 +16,7 @@ from pyspark.ml.regression import (
     GBTRegressor, GeneralizedLinearRegression, LinearRegression, LinearRegressionModel,
 )
 from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.operators.ordered import number_rows
@@ -71,9 +71,9 @@ def rmse(label: str) -> RegressionEvaluator:
     return RegressionEvaluator(labelCol=label, metricName="rmse")
 
 
-def _at_once(task: Callable, items: list) -> list:
+def _at_once(spark: SparkSession, task: Callable, items: list) -> list:
     with ThreadPoolExecutor(FITS_AT_ONCE) as pool:
-        return list(pool.map(inheritable_thread_target(task), items))
+        return list(pool.map(inheritable_thread_target(spark)(task), items))
 
 
 def _marked_best(rows: list[tuple], schema: str, larger: bool, source: DataFrame) -> DataFrame:
@@ -101,7 +101,7 @@ def fold_scores(
             train, valid = fitted.transform(train), fitted.transform(valid)
         return fold.fold, evaluator.evaluate(estimator.fit(train).transform(valid))
 
-    rows = _at_once(score, fold_bounds(numbered.count(), folds, scheme))
+    rows = _at_once(df.sparkSession, score, fold_bounds(numbered.count(), folds, scheme))
     return _marked_best(rows, "fold int", evaluator.isLargerBetter(), df)
 
 
@@ -125,7 +125,7 @@ def grid_scores(
         return str(setting), evaluator.evaluate(fitted.transform(valid))
 
     try:
-        rows = _at_once(score, grid)
+        rows = _at_once(train.sparkSession, score, grid)
     finally:
         train.unpersist()
         valid.unpersist()
