@@ -1,4 +1,4 @@
-"""Filters, splits, null handling and deduplication."""
+"""Filters, splits and null handling."""
 
 from __future__ import annotations
 
@@ -9,8 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tarmac.operators.ordered import first_per_key
-
 # The kinds of columns a model distinguishes.
 KINDS = {
     "categorical": (T.StringType,),
@@ -87,8 +85,3 @@ def columns_of_kind(df: DataFrame, kind: str) -> list[str]:
 def stack_tables(*tables: DataFrame) -> DataFrame:
     """Union by name; a column that a table lacks is null there."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
-
-
-def drop_repeats(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """One row per key; ``order`` must name enough columns to leave no tie."""
-    return first_per_key(df, keys, order)

@@ -22,7 +22,7 @@ def category_index(df: DataFrame, column: str) -> DataFrame:
         F.count(F.lit(1)).alias("n")
     )
     numbered = number_rows(levels, [F.desc("n"), "level"], "_row")
-    last = levels.agg(F.count(F.lit(1)).alias("_last"))
+    last = numbered.agg(F.max("_row").alias("_last"))
     index = F.col("_row") - 1
     return attach_scalars(numbered, last).select(
         "level", "n", index.alias("index"),

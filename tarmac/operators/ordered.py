@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 from tarmac.operators.joins import attach_scalars, broadcast_if_small, same_keys
 from tarmac.session import cut, stage
 
-ROWS_PER_TASK = 2_000_000
+ROWS_PER_TASK = 1_000_000
+AVERAGED_ROWS_PER_TASK = 100_000
 DISTINCT_PER_TASK = 500_000
 # Width of the in-partition counter of monotonically_increasing_id (documented by Spark).
 COUNTER_BITS = 33
@@ -118,9 +119,12 @@ def previous_values(
 
 def moving_average(
     df: DataFrame, order: list[str], value: str, rows: int, name: str = "moving_avg",
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int = AVERAGED_ROWS_PER_TASK,
 ) -> DataFrame:
-    """Mean of the value over the last ``rows`` rows; null until that many values were seen."""
+    """Mean of the value over the last ``rows`` rows; null until that many values were seen.
+
+    The budget is lower than elsewhere, because every row sums up a whole frame.
+    """
     stored = stage(df)
     blocked = stored.count() > rows_per_task
     if blocked:

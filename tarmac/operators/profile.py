@@ -7,6 +7,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tarmac.functions.numbers import cap
 from tarmac.functions.text import numeric_text
 from tarmac.operators.clean import complete_rows
 from tarmac.operators.joins import attach_scalars
@@ -143,8 +144,7 @@ def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
 def cap_at_percentile(df: DataFrame, column: str, fraction: float, name: str) -> DataFrame:
     """Cap a column at its own exact percentile. Fit on training rows with ``threshold``."""
     return attach_scalars(df, threshold(df, column, fraction)).withColumn(
-        name, F.when(F.col(column) > F.col("threshold"), F.col("threshold"))
-        .otherwise(F.col(column))
+        name, cap(F.col(column), F.col("threshold"))
     )
 
 

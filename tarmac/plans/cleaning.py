@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from tarmac.functions import numbers, text, times
 from tarmac.functions.holidays import is_us_holiday
 from tarmac.operators import clean, profile
+from tarmac.operators.ordered import first_per_key
 from tarmac.plans.common import GAPPY_SQL, Query, gappy_events, rounded, shipments, table
 from tarmac.sources.schemas import conform, rejects
 
@@ -75,14 +76,14 @@ def status_counts(spark, folder):
 def dedup_first(spark, folder):
     lines = table(spark, folder, "lineitem")
     keys = ["l_orderkey", "l_linenumber"]
-    return clean.drop_repeats(lines, keys, [c for c in lines.columns if c not in keys])
+    return first_per_key(lines, keys, [c for c in lines.columns if c not in keys])
 
 
 def one_per_key(spark, folder):
     places = table(spark, folder, "supplier").selectExpr(
         "s_nationkey AS place", "s_acctbal AS lat", "s_suppkey AS lon"
     )
-    return clean.drop_repeats(places, ["place"], ["lon"])
+    return first_per_key(places, ["place"], ["lon"])
 
 
 def distinct_values(spark, folder):

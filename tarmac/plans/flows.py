@@ -17,7 +17,7 @@ from tarmac.operators.profile import threshold
 from tarmac.operators.series import previous_trip_features
 from tarmac.plans.common import Query, rounded, table
 from tarmac.plans.series import _JOURNEYS_SQL, _journeys
-from tarmac.session import shared_folder
+from tarmac.session import shared_folder, stage
 from tarmac.sources import tables
 
 _ORDERS = T.StructType([
@@ -64,13 +64,12 @@ def feature_table(spark, folder):
     journeys = _journeys(spark, folder)
     featured = previous_trip_features(
         journeys, "user_id", "dep", "arr", "elapsed", "delay", ["arr", "event_id"])
-    flagged = featured.withColumns({
+    flagged = stage(featured.withColumns({
         "part_of_day": day_part(F.col("dep")), "is_holiday": is_us_holiday(F.col("dep")),
         "late": over_threshold(F.col("delay")),
-    })
+    }))
     train, _ = split_at(flagged, "dep", F.lit("2024-01-20").cast("timestamp_ntz"))
-    fitted, _ = split_at(journeys, "dep", F.lit("2024-01-20").cast("timestamp_ntz"))
-    capped = attach_scalars(flagged, threshold(fitted, "delay", 0.95)).withColumn(
+    capped = attach_scalars(flagged, threshold(train, "delay", 0.95)).withColumn(
         "capped_delay", cap(F.col("delay"), F.col("threshold")))
     scaled = standardise(capped, ["elapsed", "prev_delay"], train)
     return rounded(

@@ -246,7 +246,8 @@ m AS MATERIALIZED (SELECT {", ".join(
 c AS MATERIALIZED (SELECT CAST(floor((epoch(l_shipdate) - 1420070400) / 86400) AS BIGINT) AS chunk,
   origin, dest, {", ".join(
     f"avg(({c} - m{i}) / d{i}) AS f{i - 2}" for i, c in enumerate(_SCALED) if i >= 2)},
-  avg(greatest(date_diff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE)), 0) / 60.0::DOUBLE) AS f6,
+  avg(greatest(date_diff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE)), 0)
+      / 60.0::DOUBLE) AS f6,
   avg(l_linenumber / 60.0::DOUBLE) AS f7 FROM t, m GROUP BY ALL),
 nv AS (SELECT greatest(max(origin), max(dest)) + 1 AS n FROM c),
 y AS MATERIALIZED (SELECT chunk, origin, sum(f6) / any_value(n) AS target FROM c, nv
