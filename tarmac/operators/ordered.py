@@ -21,7 +21,10 @@ from tarmac.session import cut, stage
 
 ROWS_PER_TASK = 1_000_000
 AVERAGED_ROWS_PER_TASK = 100_000
-DISTINCT_PER_TASK = 500_000
+DISTINCT_PER_TASK = 1_000_000
+# Groups whose maps of values a task holds at once, before Spark sorts by group instead
+# (the default of spark.sql.objectHashAggregate.sortBased.fallbackThreshold).
+GROUPS_AT_ONCE = 128
 # Width of the in-partition counter of monotonically_increasing_id (documented by Spark).
 COUNTER_BITS = 33
 
@@ -151,18 +154,18 @@ def exact_percentiles(
     ``also`` are further aggregates to compute on the way.
 
     The built-in ``percentile`` keeps a map of the distinct values of a group in one task. It is
-    used where an estimate shows that the map is small. Otherwise the distinct values are counted
+    used where an estimate shows that the maps are small. Otherwise the distinct values are counted
     first, sorted over all tasks, and the wanted ranks are read off the running counts.
     """
     by = by or []
     also = also or []
-    widest = (
+    widest, groups = (
         df.groupBy(*by)
         .agg(F.approx_count_distinct(value).alias("_distinct"))
-        .agg(F.max("_distinct"))
-        .first()[0]
+        .agg(F.max("_distinct"), F.count(F.lit(1)))
+        .first()
     )
-    if (widest or 0) <= distinct_per_task:
+    if (widest or 0) * min(groups, GROUPS_AT_ONCE) <= distinct_per_task:
         shares = F.array(*[F.lit(float(p)) for p in fractions.values()])
         found = df.groupBy(*by).agg(F.percentile(value, shares).alias("_p"), *also)
         return found.select(
@@ -170,7 +173,8 @@ def exact_percentiles(
             *[F.col("_p")[i].alias(name) for i, name in enumerate(fractions)],
         )
 
-    counted = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
+    present = df.filter(F.col(value).isNotNull())
+    counted = present.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
     rows = _staged_in_order(counted, [*by, value])
     sums = rows.groupBy("_slice").agg(F.sum("_n").alias("_sum"))
     running = Window.partitionBy("_slice").orderBy("_at")

@@ -49,9 +49,12 @@ def smoothed_averages(
     return moving_average(averages_by(df, key, [measure], keep), [key], f"avg_{measure}", rows)
 
 
-def by_numeric_text(df: DataFrame, column: str, name: str = "sort_key") -> DataFrame:
-    """Order by the number inside a text column."""
-    return df.withColumn(name, numeric_text(F.col(column))).orderBy(name, column)
+def by_numeric_text(
+    df: DataFrame, column: str, number: Column | None = None, name: str = "sort_key"
+) -> DataFrame:
+    """Order by the number inside a text column, or by another number read from it."""
+    number = numeric_text(F.col(column)) if number is None else number
+    return df.withColumn(name, number).orderBy(name, column)
 
 
 def highest_averages(

@@ -54,6 +54,16 @@ def clean_numeric_text(spark, folder):
     )
 
 
+def avg_by_rain_text(spark, folder):
+    """Average per reading of a dirty rain column, in the order of the cleaned amounts."""
+    events = table(spark, folder, "events").withColumn(
+        "rain", F.when(F.col("user_id") % 7 == 0, "T").otherwise(
+            F.concat(F.lit("0.0"), F.col("user_id") % 7, F.lit("s"))))
+    averages = profile.averages_by(events, "rain", ["value"])
+    return rounded(
+        profile.by_numeric_text(averages, "rain", text.precipitation(F.col("rain"))), "avg_value")
+
+
 def filter_active(spark, folder):
     orders = table(spark, folder, "orders")
     flagged = orders.withColumns({
@@ -289,6 +299,11 @@ SELECT event_id, CASE WHEN value < 1 OR (value >= 5 AND value < 6) THEN NULL ELS
        CASE WHEN value < 1 THEN 0.9 WHEN value >= 5 AND value < 6 THEN 0.9 ELSE value END AS rain,
        -CAST(user_id AS DOUBLE) AS negative
 FROM events"""),
+    "avg_by_rain_text": Query(avg_by_rain_text, """
+SELECT CASE WHEN user_id % 7 = 0 THEN 'T' ELSE '0.0' || (user_id % 7) || 's' END AS rain,
+       CASE WHEN user_id % 7 = 0 THEN 0.005 ELSE (user_id % 7) / 100.0 END::DOUBLE AS sort_key,
+       round(avg(value), 6) AS avg_value
+FROM events GROUP BY 1, 2"""),
     "filter_active": Query(filter_active, """
 SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders
 WHERE o_orderstatus NOT IN ('F', 'P') AND o_orderpriority <> '5-LOW'"""),
