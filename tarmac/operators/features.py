@@ -6,7 +6,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.feature import (
     OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler, VectorSlicer,
 )
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.operators.joins import attach_scalars
@@ -31,15 +31,22 @@ def category_index(df: DataFrame, column: str) -> DataFrame:
 
 
 def standardise(df: DataFrame, columns: list[str], train: DataFrame | None = None) -> DataFrame:
-    """Scale columns to mean 0 and sample deviation 1, measured on the training rows."""
+    """Scale columns to mean 0 and sample deviation 1, measured on the training rows.
+
+    A column that is constant there becomes 0.
+    """
     fitted = (df if train is None else train).agg(
         *[F.avg(c).alias(f"_mean_{c}") for c in columns],
         *[F.stddev_samp(c).alias(f"_sd_{c}") for c in columns],
     )
+
+    def scaled(c: str) -> Column:
+        deviation = F.col(f"_sd_{c}")
+        centred = F.col(c) - F.col(f"_mean_{c}")
+        return F.when(deviation == 0, 0.0).otherwise(F.try_divide(centred, deviation))
+
     return attach_scalars(df, fitted).select(
-        *df.columns,
-        *[((F.col(c) - F.col(f"_mean_{c}")) / F.col(f"_sd_{c}")).alias(f"{c}_scaled")
-          for c in columns],
+        *df.columns, *[scaled(c).alias(f"{c}_scaled") for c in columns]
     )
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tarmac.operators.clean import complete_rows
 from tarmac.operators.joins import BROADCAST_ROWS, attach_scalars, broadcast_if_small
 from tarmac.session import cut, cut_by
 
@@ -73,7 +74,7 @@ def vertex_counts(edges: DataFrame) -> DataFrame:
     per_vertex = role.groupBy("id").agg(F.max("is_source").alias("is_source"))
     return per_vertex.agg(
         F.count(F.lit(1)).alias("vertices"), F.count_if(F.col("is_source") == 0).alias("dangling")
-    ).withColumn("dangling_share", F.col("dangling") / F.col("vertices"))
+    ).withColumn("dangling_share", F.try_divide("dangling", "vertices"))
 
 
 def _sliced(edges: DataFrame, degrees: DataFrame, per_slice: int, by: tuple[str, ...] = ()):
@@ -175,7 +176,7 @@ def pagerank(
     ``scale="probability"``: the ranks of a graph sum to 1 and the mass of dangling vertices is
     shared among all. ``scale="count"``: ranks start at 1, dangling mass is lost, and ``rescale``
     brings the sum back to the number of vertices. ``tolerance`` stops early once no graph's ranks
-    moved by more than that in total.
+    moved by more than that in total. Edges with a null end are left out.
 
     Edges are merged, laid out by source once and kept. The edges of a source with more than
     ``edges_per_slice`` of them are spread over several slices, and its rank is sent to each. Up to
@@ -183,7 +184,7 @@ def pagerank(
     checkpointed in every iteration, so that a lost executor costs one iteration at most.
     """
     by = tuple(by)
-    merged = cut(weighted_edges(edges, by))
+    merged = cut(weighted_edges(complete_rows(edges, [*by, "src", "dst"]), by))
     degrees = out_degrees(merged, by)
     known = vertices_of(merged, by)
     if vertices is not None:
@@ -205,7 +206,7 @@ def pagerank(
 
     def with_size(rows: DataFrame) -> DataFrame:
         if not by:
-            return rows.withColumn("n_vertices", F.lit(n_vertices))
+            return rows.withColumn("n_vertices", F.lit(max(n_vertices, 1)))
         return rows.join(F.broadcast(sizes) if few_graphs else sizes, list(by))
 
     def with_fact(rows: DataFrame, fact: DataFrame) -> DataFrame:

@@ -88,7 +88,7 @@ def null_profile(df: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("_rows"), *[F.count_if(df[c].isNull()).alias(c) for c in df.columns]
     )
     return counted.unpivot(["_rows"], df.columns, "column_name", "nulls").select(
-        "column_name", "nulls", (F.col("nulls") * 100.0 / F.col("_rows")).alias("pct_null")
+        "column_name", "nulls", F.try_divide(F.col("nulls") * 100.0, "_rows").alias("pct_null")
     )
 
 

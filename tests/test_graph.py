@@ -84,6 +84,14 @@ def test_pagerank_stops_at_the_tolerance(spark):
     assert loose == pytest.approx(exact, abs=0.05)
 
 
+def test_edges_without_an_end_are_left_out(spark):
+    edges = _edges(spark, TOY).unionByName(
+        spark.createDataFrame([("A", None), (None, "B")], "src string, dst string"))
+    want = _plain_ranks({(p[0], p[1]): 1 for p in TOY}, 3)
+    assert _as_dict(graph.pagerank(edges, iterations=3)) == pytest.approx(want)
+    assert graph.pagerank(edges.limit(0), iterations=3).count() == 0
+
+
 def test_isolated_vertices_get_a_rank(spark):
     alone = spark.createDataFrame([("Z",)], "id string")
     ranks = _as_dict(graph.pagerank(_edges(spark, TOY), alone, iterations=5))

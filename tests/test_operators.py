@@ -162,6 +162,14 @@ def test_category_index_and_encoder(spark):
     assert features.slot_names(fewer, "kept") == ["k_onehot_b", "k_onehot_a"]
 
 
+def test_constant_columns_and_empty_tables(spark):
+    same = spark.createDataFrame([(2.0,), (2.0,)], "x double")
+    assert [r.x_scaled for r in features.standardise(same, ["x"]).collect()] == [0.0, 0.0]
+    empty = same.limit(0)
+    assert [tuple(r) for r in profile.null_profile(empty).collect()] == [("x", 0, None)]
+    assert profile.summary(empty, "x").first().n == 0
+
+
 def test_unseen_level_keeps_empty_slots(spark):
     train = spark.createDataFrame([("a", 1.0), ("b", 2.0)], "k string, x double")
     new = spark.createDataFrame([("z", 1.0)], "k string, x double")

@@ -108,3 +108,12 @@ def test_first_per_key_breaks_ties_by_order(hot):
 def test_first_per_key_of_whole_rows(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], "x int, y string")
     assert first_per_key(df, ["x", "y"], []).count() == 2
+
+
+def test_empty_tables_stay_empty(hot):
+    empty = hot.filter("false")
+    assert number_rows(empty, ["id"]).count() == 0
+    assert previous_values(empty, ["k"], ["o", "id"], {"p": "v"}).count() == 0
+    assert moving_average(empty, ["id"], "v", 3).count() == 0
+    assert exact_percentiles(empty, "v", {"p": 0.5}, ["k"]).count() == 0
+    assert exact_percentiles(empty, "v", {"p": 0.5}).first().p is None
