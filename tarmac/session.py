@@ -35,7 +35,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = context.getCheckpointDir()
     if folder:
         return folder
-    folder = context.getConf().get("spark.checkpoint.dir")
+    folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
