@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 #: Upper-case and lower-case ASCII letters, the only ones that several contracts fold.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-#: A side of a join is broadcast only when its counted rows and widest row stay below this.
+#: A side of a join is broadcast only when its measured size stays below this.
 BROADCAST_BYTES = 64 << 20
 
 
@@ -29,10 +29,13 @@ def ascii_lower(text: Column) -> Column:
         F.translate(text, UPPER, LOWER))
 
 
-def small_side(df: DataFrame, row_bytes: int) -> DataFrame:
-    """``df`` with a broadcast hint if its counted rows of at most ``row_bytes`` fit the bound.
+def small_side(df: DataFrame) -> DataFrame:
+    """``df`` with a broadcast hint if its measured size is below the bound.
 
-    Beyond the bound the join is left to a shuffle, with the same result.
+    Beyond the bound the join is left to a shuffle, with the same result. ``df`` is read twice, so
+    pass one that is stored.
     """
-    rows = df.count()
-    return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df
+    width = sum((F.coalesce(F.octet_length(c), F.lit(0)) if kind == "string" else F.lit(0)) + 24
+                for c, kind in df.dtypes)
+    size = df.select(F.sum(width.cast("long")).alias("size")).first()["size"] or 0
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tarmac.llm import simhash
+from tarmac.llm import decontaminate, language, simhash
 from tarmac.llm.common import table
 from tarmac.plans.common import Query
 
@@ -13,6 +13,16 @@ def op2_simhash(spark, folder):
     return simhash.near_duplicates(table(spark, folder, "documents"), shingle=3, max_bits=2)
 
 
+def op3_language_id(spark, folder):
+    return language.language_id(table(spark, folder, "documents"))
+
+
+def op5_decontaminate(spark, folder):
+    return decontaminate.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 QUERIES = {
     "op2_simhash": Query(op2_simhash),
+    "op3_language_id": Query(op3_language_id),
+    "op5_decontaminate": Query(op5_decontaminate, decontaminate.SQL),
 }
