@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
-from tarmac.llm import decontaminate, language, simhash
+from tarmac.llm import chat, decontaminate, language, linededup, simhash
 from tarmac.llm.common import table
 from tarmac.plans.common import Query
 
@@ -17,12 +15,23 @@ def op3_language_id(spark, folder):
     return language.language_id(table(spark, folder, "documents"))
 
 
+def op4_line_dedup(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return linededup.dedup_lines(docs, removed="n_removed")
+
+
 def op5_decontaminate(spark, folder):
     return decontaminate.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op9_chat_format(spark, folder):
+    return chat.format_chats(table(spark, folder, "conversations"))
+
+
 QUERIES = {
     "op2_simhash": Query(op2_simhash),
     "op3_language_id": Query(op3_language_id),
+    "op4_line_dedup": Query(op4_line_dedup, linededup.SQL),
     "op5_decontaminate": Query(op5_decontaminate, decontaminate.SQL),
+    "op9_chat_format": Query(op9_chat_format, chat.SQL),
 }
