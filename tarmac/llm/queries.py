@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from tarmac.llm import chat, decontaminate, language, linededup, simhash
+from pyspark.sql import functions as F
+
+from tarmac.llm import (ann, chat, decontaminate, language, linededup, segment, simhash, tokencount,
+                        warc)
 from tarmac.llm.common import table
 from tarmac.plans.common import Query
 
@@ -24,14 +27,38 @@ def op5_decontaminate(spark, folder):
     return decontaminate.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op6_token_counts(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return tokencount.count_tokens(docs).drop("text")
+
+
+def op7_segmentations(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return segment.segmentations(docs, k=2, digests=True).select("doc_id", "pieces.*")
+
+
+def op8_nearest(spark, folder):
+    vectors = table(spark, folder, "embeddings")
+    return ann.nearest(vectors, vectors.filter(F.col("vec_id") % 50 == 0), k=5)
+
+
 def op9_chat_format(spark, folder):
     return chat.format_chats(table(spark, folder, "conversations"))
 
 
+def op10_warc(spark, folder):
+    return warc.archive_round_trip(table(spark, folder, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES = {
     "op2_simhash": Query(op2_simhash),
     "op3_language_id": Query(op3_language_id),
     "op4_line_dedup": Query(op4_line_dedup, linededup.SQL),
     "op5_decontaminate": Query(op5_decontaminate, decontaminate.SQL),
+    "op6_token_counts": Query(op6_token_counts),
+    "op7_segmentations": Query(op7_segmentations),
+    "op8_nearest": Query(op8_nearest),
     "op9_chat_format": Query(op9_chat_format, chat.SQL),
+    "op10_warc": Query(op10_warc, warc.SQL),
 }
