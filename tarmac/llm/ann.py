@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tarmac.session import cut
 
 #: Lines, the share of them a candidate must collide on, first half-width and its growth.
-LINES, SHARE, WIDTH, GROWTH = 40, 0.6, 0.25, 1.3
+LINES, SHARE, WIDTH, GROWTH = 30, 0.6, 0.25, 1.3
 #: Vectors and queries of a block: a task holds one block of each.
 BLOCK, QUERIES = 8192, 512
 
@@ -49,15 +49,19 @@ def search_block(query_ids, queries, ids, vectors, k: int, seed: int):
     often enough, and k verified ones within it end the search.
     """
     lines = _lines(vectors.shape[1], seed)
-    shadows = _unit(vectors) @ lines.T
+    unit, unit_queries = _unit(vectors), _unit(queries)
+    shadows = unit @ lines.T
     order = np.argsort(shadows, axis=0, kind="stable").astype(np.int32).T.copy()
     arrays = np.take_along_axis(shadows, order.T, axis=0).T.copy()
-    spots = _unit(queries) @ lines.T
+    spots = unit_queries @ lines.T
     needed = int(np.ceil(SHARE * LINES))
     n = len(ids)
     middle = np.stack([np.searchsorted(a, x) for a, x in zip(arrays, spots.T)], axis=1)
     lows, highs = middle.copy(), middle
-    counts: dict[int, np.ndarray] = {q: np.zeros(n, np.uint8) for q in range(len(queries))}
+    # of each open query: collisions by vector, the verified vectors and their cosines
+    counts = {q: np.zeros(n, np.uint8) for q in range(len(queries))}
+    known = {q: np.zeros(n, bool) for q in range(len(queries))}
+    seen = {q: (np.zeros(0, np.int64), np.zeros(0)) for q in range(len(queries))}
     best: dict[int, tuple] = {}
     width = WIDTH
     live = list(range(len(queries)))
@@ -71,19 +75,23 @@ def search_block(query_ids, queries, ids, vectors, k: int, seed: int):
                 count[order[j, low[at, j]:lows[q, j]]] += 1
                 count[order[j, highs[q, j]:high[at, j]]] += 1
             lows[q], highs[q] = low[at], high[at]
-            rows = np.flatnonzero(count >= needed)
-            rows = rows[ids[rows] != query_ids[q]]
-            whole = bool((high[at] - low[at] == n).all())
-            if len(rows) < k and not whole:
+            rows, scores = seen[q]
+            fresh = np.flatnonzero(count >= needed)
+            fresh = fresh[~known[q][fresh]]
+            known[q][fresh] = True
+            fresh = fresh[ids[fresh] != query_ids[q]]
+            rows = np.concatenate([rows, fresh])
+            scores = np.concatenate([scores, unit[fresh] @ unit_queries[q]])
+            seen[q] = rows, scores
+            kth = np.partition(scores, -k)[-k] if len(rows) >= k else -np.inf
+            if not (high[at] - low[at] == n).all() and 2 - 2 * kth > (width / 1.1) ** 2:
                 still.append(q)
                 continue
+            rows = rows[scores >= kth - 1e-9]  # rounding aside, the k best; then the exact measure
             scores = cosine(queries[q], vectors[rows])
-            if not whole and 2 - 2 * np.partition(scores, len(rows) - k)[len(rows) - k] > (width / 1.1) ** 2:
-                still.append(q)
-                continue
             top = np.lexsort((ids[rows], -scores))[:k]
             best[q] = (np.full(len(top), query_ids[q]), ids[rows[top]], scores[top])
-            del counts[q]
+            del counts[q], known[q], seen[q]
         live = still
         width *= GROWTH
     if not best:

@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tarmac.llm import (ann, chat, decontaminate, language, linededup, segment, simhash, tokencount,
-                        warc)
+from tarmac.llm import (ann, chat, decontaminate, htmltext, language, linededup, segment, simhash,
+                        tokencount, warc)
 from tarmac.llm.common import table
 from tarmac.plans.common import Query
 
 
+def op1_html_text(spark, folder):
+    return htmltext.extract(table(spark, folder, "pages"))
+
+
 def op2_simhash(spark, folder):
     return simhash.near_duplicates(table(spark, folder, "documents"), shingle=3, max_bits=2)
 
@@ -52,6 +56,7 @@ def op10_warc(spark, folder):
 
 
 QUERIES = {
+    "op1_html_text": Query(op1_html_text),
     "op2_simhash": Query(op2_simhash),
     "op3_language_id": Query(op3_language_id),
     "op4_line_dedup": Query(op4_line_dedup, linededup.SQL),
