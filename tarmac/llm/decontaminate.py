@@ -15,13 +15,23 @@ from tarmac.session import cut
 
 #: Runs of ASCII letters and digits and of everything beyond ASCII. Fixed values.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 OTHER = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]*"
 WINDOW = 10
 
 
 def words(text: Column) -> Column:
-    """The words of a text, A-Z folded; none for null."""
-    return F.regexp_extract_all(ascii_lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
+    """The words of a text, A-Z folded; none for null.
+
+    The text is split at what is no word, which leaves an empty string where it begins or ends so.
+    """
+    def inner(parts: Column) -> Column:
+        head = F.when(parts[0] == "", 1).otherwise(0)
+        tail = F.when(F.element_at(parts, -1) == "", 1).otherwise(0)
+        return F.when(F.size(parts) > 1, F.slice(parts, head + 1, F.size(parts) - head - tail)
+                      ).otherwise(F.filter(parts, lambda part: part != ""))
+
+    return let(F.split(ascii_lower(F.coalesce(text, F.lit(""))), BETWEEN, -1), inner)
 
 
 def _stride(length: int) -> int:
