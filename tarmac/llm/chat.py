@@ -13,7 +13,7 @@ _HASHES = ("h", "g")
 
 
 def _positions(chats: DataFrame, conv: str, turn: str, role: str, text: str) -> DataFrame:
-    """Distinct turns with ``pos`` from 1 and the hashes of the conversation up to each of them.
+    """Distinct turns with ``pos`` from 1, the conversation's length ``n`` and its hashes up to there.
 
     Turns are spread by range, so a conversation of any length lies in several tasks. Each task
     numbers its own part, and the parts before it, one row each, give the offset. The prefix hash
@@ -26,7 +26,8 @@ def _positions(chats: DataFrame, conv: str, turn: str, role: str, text: str) ->
     dealt = cut(rows.repartitionByRange(F.col("conv"), *order).withColumn(
         "part", F.spark_partition_id()))
     inside = Window.partitionBy("conv", "part").orderBy(*order)
-    before = Window.partitionBy("conv").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts_of = Window.partitionBy("conv")
+    before = parts_of.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
 
     def offset(df: DataFrame, *totals: Column, **sums: Column) -> DataFrame:
         parts = df.groupBy("conv", "part").agg(*totals).select(
@@ -37,7 +38,7 @@ def _positions(chats: DataFrame, conv: str, turn: str, role: str, text: str) ->
 
     local = dealt.withColumn("pos", F.row_number().over(inside))
     placed = offset(local, F.count(F.lit(1)).alias("n"),
-                    skip=F.coalesce(F.sum("n").over(before), F.lit(0)))
+                    skip=F.coalesce(F.sum("n").over(before), F.lit(0)), n=F.sum("n").over(parts_of))
     placed = placed.withColumn("pos", F.col("pos") + F.col("skip")).drop("skip")
     tagged = placed.withColumns({
         "own_h": F.xxhash64("pos", "role", "text"), "own_g": F.xxhash64(F.lit(1), "pos", "role", "text")})
@@ -45,10 +46,9 @@ def _positions(chats: DataFrame, conv: str, turn: str, role: str, text: str) ->
         Window.unboundedPreceding, Window.currentRow)
     rolled = tagged.withColumns({x: F.bit_xor(f"own_{x}").over(running) for x in _HASHES})
     ends = offset(rolled, *[F.bit_xor(f"own_{x}").alias(f"all_{x}") for x in _HASHES],
-                  F.max("pos").alias("end"),
                   **{f"base_{x}": F.coalesce(F.bit_xor(f"all_{x}").over(before), F.lit(0))
                      for x in _HASHES})
-    return ends.select("conv", "turn", "role", "text", "pos", *[
+    return ends.select("conv", "turn", "role", "text", "pos", "n", *[
         F.col(x).bitwiseXOR(F.col(f"base_{x}")).alias(x) for x in _HASHES])
 
 
@@ -57,14 +57,10 @@ def maximal(turns: DataFrame) -> DataFrame:
 
     A conversation goes if its turns begin a longer one; of equal ones the smallest id stays.
     """
-    ends = turns.groupBy("conv").agg(F.max(F.struct("pos", *_HASHES)).alias("x")).select("conv", "x.*")
-    whole = ends.groupBy("pos", *_HASHES).agg(
+    whole = turns.filter("pos = n").groupBy("pos", *_HASHES).agg(
         F.min(F.struct(F.col("conv").isNull().alias("last"), "conv")).alias("kept"),
         F.count(F.lit(1)).alias("copies"))
-    longer = ends.select("conv", F.col("pos").alias("n"))
-    inner = turns.join(longer.select(F.col("conv").alias("_conv"), "n"),
-                       F.col("conv").eqNullSafe(F.col("_conv"))).filter("pos < n")
-    begun = inner.select("pos", *_HASHES).distinct()
+    begun = turns.filter("pos < n").select("pos", *_HASHES).distinct()
     return whole.join(begun, ["pos", *_HASHES], "left_anti").select(
         F.col("kept")["conv"].alias("conv"), F.col("pos").alias("n_turns"), "copies")
 
@@ -86,7 +82,7 @@ def format_chats(chats: DataFrame, conv: str = "conv_id", turn: str = "turn", ro
     """
     turns = cut(_positions(chats, conv, turn, role, text))
     kept = maximal(turns).withColumnRenamed("conv", "_conv")
-    shown = turns.join(kept, F.col("conv").eqNullSafe(F.col("_conv"))).select(
+    shown = turns.drop("n").join(kept, F.col("conv").eqNullSafe(F.col("_conv"))).select(
         "conv", "n_turns", "copies", "pos",
         F.floor((F.col("pos") - 1) / SEGMENT).cast("long").alias("segment"),
         _rendered(F.col("role"), F.col("text")).alias("one"))

@@ -39,3 +39,36 @@ def small_side(df: DataFrame) -> DataFrame:
                 for c, kind in df.dtypes)
     size = df.select(F.sum(width.cast("long")).alias("size")).first()["size"] or 0
     return F.broadcast(df) if size <= BROADCAST_BYTES else df
+
+
+def append_columns(df: DataFrame, inputs: list[str], schema: str, make) -> DataFrame:
+    """``df`` with the columns of ``schema``, computed in Python from the ``inputs`` columns.
+
+    ``make`` takes an iterator over batches, each a tuple of lists, and yields for each batch a list
+    of rows in the form of tuples. Batches pass as Arrow; the other columns are not converted. Unlike
+    a function in a projection, this step accepts any plan below it. A new column must not have the
+    name of one that is there.
+    """
+    import pyarrow as pa
+    from pyspark.sql import types as T
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    added = T.StructType.fromDDL(schema)
+    kinds = [to_arrow_type(field.dataType) for field in added]
+    names = df.columns + added.names
+
+    def run(batches):
+        held = []
+
+        def given():
+            for batch in batches:
+                held.append(batch)
+                yield tuple(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in inputs)
+
+        for rows in make(given()):
+            batch = held.pop(0)
+            columns = list(zip(*rows)) if rows else [[] for _ in kinds]
+            new = [pa.array(values, kind) for values, kind in zip(columns, kinds)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=names)
+
+    return df.mapInArrow(run, T.StructType(df.schema.fields + added.fields))

@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 from tarmac.llm.common import ascii_lower, let, small_side
 from tarmac.session import cut
 
-#: Runs of ASCII letters and digits and of everything beyond ASCII. Fixed values.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: What parts the words of a text whose A-Z are folded: all ASCII but a-z and 0-9. A fixed value.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-OTHER = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]*"
+#: The same words and what parts them in a text as it was given, with its capitals.
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+OTHER = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*"
 WINDOW = 10
 
 

@@ -50,6 +50,8 @@ NAMED = re.compile(
     r"cookies?|disqus|disclaimer|footer|gdpr|masthead|menu|modal|nav|navbar|navigation|newsletter|"
     r"notices?|pagination|paywall|popup|promo|related|replies|respond|share|sharing|sidebar|"
     r"sitenav|social|sponsor|sponsored|subscribe|toolbar|topbar|widget)(?:$|[-_ ])")
+#: A tag that the end of the page cuts off is no text.
+_CUT_OFF = re.compile(r"<[/!a-zA-Z][^<>]*\Z")
 #: Elements that hold the article itself and so are never taken for furniture by their class.
 _WHOLE = frozenset(("html", "body", "main", "article"))
 
@@ -123,7 +125,7 @@ def article_of(html: str) -> list[Node]:
     The outermost ``article`` elements, else ``main`` elements, else the whole body.
     """
     tree = _Tree()
-    tree.feed(html)
+    tree.feed(_CUT_OFF.sub("", html))
     tree.close()
     found: dict[str, list[Node]] = {"article": [], "main": []}
     stack = [(tree.root, False, False)]
@@ -233,9 +235,10 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
     sizes = seen.select("host", "page").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
     common = seen.filter(F.col("tree").isNotNull()).groupBy("host", "tree").agg(
         F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least_pages)
-    # at most (subtrees of a page) / part templates a host, so the list of a host is small
-    lists = common.join(sizes, "host").filter(F.col("n") >= part * F.col("pages")).groupBy("host").agg(
-        F.collect_list("tree").alias("_templates"))
+    # at most (subtrees of a page) / part templates a host, so the list of a host is small; stored, so
+    # that the join shuffles both sides and a host with very many pages can be split over tasks
+    lists = cut(common.join(sizes, "host").filter(F.col("n") >= part * F.col("pages")).groupBy("host").agg(
+        F.collect_list("tree").alias("_templates")))
     joined = rows.join(lists.withColumnRenamed("host", "_host"), "_host", "left")
 
     @F.pandas_udf("string")

@@ -15,6 +15,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tarmac.llm.common import append_columns
+from tarmac.session import cut
+
 #: Longest n-gram, ranks in a profile, and ranks of a text that are compared.
 LONGEST, PROFILE, COMPARED = 3, 400, 300
 #: Counts a task holds before it hands them on, code points it looks at in one go.
@@ -107,7 +110,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
 
     Rows with a null text or language are left out. Grams are ranked by count, ties by code. Counts
     are summed in the tasks, then over all of them; the best of a language are taken in two steps,
-    so no task sorts all grams of one language.
+    so no task sorts all grams of one language. The profiles are a checkpoint.
     """
     given = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")).dropna()
     sums = given.mapInPandas(_count_parts, "lang string, gram long, n long").groupBy(
@@ -116,8 +119,8 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     part = Window.partitionBy("lang", F.pmod(F.hash("gram"), F.lit(64))).orderBy(*order)
     best = sums.withColumn("rank", F.row_number().over(part)).filter(F.col("rank") <= PROFILE)
     whole = Window.partitionBy("lang").orderBy(*order)
-    return best.withColumn("rank", F.row_number().over(whole)).filter(
-        F.col("rank") <= PROFILE).select("lang", "gram", "rank")
+    return cut(best.withColumn("rank", F.row_number().over(whole)).filter(
+        F.col("rank") <= PROFILE).select("lang", "gram", "rank"))
 
 
 def _model(profiles: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -160,13 +163,11 @@ def identify(docs: DataFrame, profiles: DataFrame, text: str = "text",
     """
     sent = docs.sparkSession.sparkContext.broadcast(_model(profiles))
 
-    @F.pandas_udf("lang string, score double")
-    def predict(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            yield pd.DataFrame([classify(t, sent.value) for t in part], columns=["lang", "score"])
+    def predict(batches):
+        for (texts,) in batches:
+            yield [classify(t, sent.value) for t in texts]
 
-    return docs.withColumn(out[0], predict(F.col(text))).withColumns(
-        {out[1]: F.col(out[0])["score"], out[0]: F.col(out[0])["lang"]})
+    return append_columns(docs, [text], f"{out[0]} string, {out[1]} double", predict)
 
 
 def held_out(key: Column) -> Column:

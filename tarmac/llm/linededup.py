@@ -70,9 +70,10 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text",
                         F.inline(_windows(F.col(text))))
     place = F.struct(F.col("_key").isNull().alias("last"), "_key", "_text", "k")
     wins = cut(keyed)
-    repeated = wins.groupBy("h", "g").agg(
+    # stored, so that the join shuffles both sides and a very frequent window can be split over tasks
+    repeated = cut(wins.groupBy("h", "g").agg(
         F.min(place).alias("first"), F.max(place).alias("other")).filter(
-        ~F.col("first").eqNullSafe(F.col("other"))).drop("other")
+        ~F.col("first").eqNullSafe(F.col("other"))).drop("other"))
     later = wins.join(repeated, ["h", "g"]).filter(~place.eqNullSafe(F.col("first")))
     starts = later.groupBy("_key", "_text").agg(F.collect_set("k").alias("_starts"))
     joined = docs.join(starts, docs[key].eqNullSafe(starts["_key"])

@@ -26,8 +26,7 @@ class Vocabulary(NamedTuple):
     byte_ids: list[int]         # of the bytes 0 to 255
     byte_score: float
     longest: dict[str, int]     # length of the longest usable piece that ends with a character
-    shown: list[str]            # pieces by id, with ASCII bytes as their characters
-    high_bytes: frozenset[int]  # ids of the bytes beyond ASCII
+    spelled: list[bytes]        # what each id stands for
 
 
 def load(path: str = MODEL) -> Vocabulary:
@@ -52,12 +51,11 @@ def load(path: str = MODEL) -> Vocabulary:
     longest: dict[str, int] = {}
     for piece in scores:
         longest[piece[-1]] = max(len(piece), longest.get(piece[-1], 0))
-    shown = list(pieces)
-    for byte in range(0x80):
-        shown[byte_ids[byte]] = chr(byte)
+    spelled = [piece.encode() for piece in pieces]
+    for byte, i in enumerate(byte_ids):
+        spelled[i] = bytes([byte])
     return Vocabulary(pieces, scores, {pieces[i]: i for i in usable}, byte_ids,
-                      -float(np.log(len(usable) + 1)) - total, longest, shown,
-                      frozenset(byte_ids[0x80:]))
+                      -float(np.log(len(usable) + 1)) - total, longest, spelled)
 
 
 def pretokens(text: str) -> list[str]:
@@ -77,11 +75,5 @@ def decode(ids, vocabulary: Vocabulary) -> str:
 
     A text with the space sign itself comes back with spaces in its place.
     """
-    if vocabulary.high_bytes.isdisjoint(ids):
-        out = "".join(map(vocabulary.shown.__getitem__, ids))
-    else:
-        first = vocabulary.byte_ids[0]
-        run = b"".join(bytes([i - first]) if first <= i <= first + 255
-                       else vocabulary.pieces[i].encode() for i in ids)
-        out = run.decode("utf-8", "surrogatepass")
-    return out.replace(SPACE, " ")[1:]
+    spelled = b"".join(map(vocabulary.spelled.__getitem__, ids))
+    return spelled.decode("utf-8", "surrogatepass").replace(SPACE, " ")[1:]

@@ -19,6 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tarmac.llm.common import append_columns
 from tarmac.llm.components import components
 from tarmac.llm.golay import nearest, within_four
 from tarmac.session import cut, stage
@@ -54,12 +55,11 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
 def fingerprints(docs: DataFrame, out: str, text: str = "text", shingle: int = 3) -> DataFrame:
     """``docs`` with a bigint column ``out``."""
 
-    @F.pandas_udf("long")
-    def prints(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for part in parts:
-            yield pd.Series([fingerprint(t, shingle) for t in part], dtype="int64")
+    def prints(batches):
+        for (texts,) in batches:
+            yield [(fingerprint(t, shingle),) for t in texts]
 
-    return docs.withColumn(out, prints(F.col(text)))
+    return append_columns(docs, [text], f"{out} long", prints)
 
 
 def _keys(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -8,12 +8,9 @@ current path stay on a stack, so each node of the trie is scored once and memory
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from tarmac.llm.common import append_columns
 from tarmac.llm.pieces import MODEL, Vocabulary, load, pretokens, to_bytes
 
 #: Terminal counts a task remembers; then it forgets them and starts anew with the same results.
@@ -60,18 +57,15 @@ def count_tokens(docs: DataFrame, text: str = "text", tokens: str = "n_tokens",
     """
     sent = docs.sparkSession.sparkContext.broadcast(load(model))
 
-    @F.pandas_udf("tokens long, parts long")
-    def counted(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def counted(batches):
         known: dict[str, int] = {}
-        for batch in batches:
-            split = [pretokens(t) if t else [] for t in batch]
+        for (texts,) in batches:
+            split = [pretokens(t) if t else [] for t in texts]
             fresh = {p for parts in split for p in parts if p not in known}
             if len(known) + len(fresh) > REMEMBERED:
                 known = {}
                 fresh = {p for parts in split for p in parts}
             known.update(terminal_counts(fresh, sent.value))
-            yield pd.DataFrame({"tokens": [sum(map(known.__getitem__, p)) for p in split],
-                                "parts": [len(p) for p in split]}, dtype="int64")
+            yield [(sum(map(known.__getitem__, p)), len(p)) for p in split]
 
-    return docs.withColumn(tokens, counted(F.col(text))).withColumns({
-        parts: F.col(tokens)["parts"], tokens: F.col(tokens)["tokens"]})
+    return append_columns(docs, [text], f"{tokens} long, {parts} long", counted)
