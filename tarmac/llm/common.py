@@ -13,6 +13,9 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: A side of a join is broadcast only when its measured size stays below this.
 BROADCAST_BYTES = 64 << 20
 
+#: Python works on about so many bytes of rows at a time, so that what it makes of them stays small.
+SLICE_BYTES = 2 << 20
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -45,7 +48,7 @@ def append_columns(df: DataFrame, inputs: list[str], schema: str, make) -> DataF
     """``df`` with the columns of ``schema``, computed in Python from the ``inputs`` columns.
 
     ``make`` takes an iterator over batches, each a tuple of lists, and yields for each batch a list
-    of rows in the form of tuples. Batches pass as Arrow; the other columns are not converted. Unlike
+    of rows in the form of tuples. Batches pass as Arrow, in slices; other columns are not converted. Unlike
     a function in a projection, this step accepts any plan below it. A new column must not have the
     name of one that is there.
     """
@@ -57,11 +60,15 @@ def append_columns(df: DataFrame, inputs: list[str], schema: str, make) -> DataF
     kinds = [to_arrow_type(field.dataType) for field in added]
     names = df.columns + added.names
 
+    def parts(batch):
+        rows = max(1, int(batch.num_rows * SLICE_BYTES / max(batch.nbytes, 1)))
+        return (batch.slice(at, rows) for at in range(0, batch.num_rows, rows))
+
     def run(batches):
         held = []
 
         def given():
-            for batch in batches:
+            for batch in (part for whole in batches for part in parts(whole)):
                 held.append(batch)
                 yield tuple(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in inputs)
 
