@@ -153,7 +153,8 @@ def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text
     groups = _groups(narrow, key, max_bits).select(F.col("print").alias(_PRINT), "label")
     ranked = F.struct(F.col(key).isNull(), F.col(key), F.col(_ROW))
     inside = narrow.join(groups, _PRINT).select("label", _ROW, ranked.alias("rank"))
-    first = inside.groupBy("label").agg(
-        F.min("rank").getField(_ROW).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    # stored, so that the join shuffles both sides and a very large group can be split over tasks
+    first = cut(inside.groupBy("label").agg(
+        F.min("rank").getField(_ROW).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1"))
     gone = inside.join(first, "label").filter(F.col(_ROW) != F.col("first")).select(_ROW)
     return wide.join(gone, _ROW, "left_anti").select(*docs.columns)
