@@ -14,14 +14,14 @@ from pyspark.sql import functions as F
 
 # Fixed values from public law: (month, day, first year).
 FIXED_DAYS = ((1, 1, 0), (6, 19, 2021), (7, 4, 0), (11, 11, 0), (12, 25, 0))
-# Fixed values from public law: (month, weekday with Monday = 0, earliest day, latest day).
+# Fixed values from public law: (month, weekday with Monday = 0, earliest day, latest day, first year).
 FLOATING_DAYS = (
-    (1, 0, 15, 21),
-    (2, 0, 15, 21),
-    (5, 0, 25, 31),
-    (9, 0, 1, 7),
-    (10, 0, 8, 14),
-    (11, 3, 22, 28),
+    (1, 0, 15, 21, 1986),
+    (2, 0, 15, 21, 1971),
+    (5, 0, 25, 31, 1971),
+    (9, 0, 1, 7, 0),
+    (10, 0, 8, 14, 1971),
+    (11, 3, 22, 28, 0),
 )
 FRIDAY, MONDAY = 4, 0
 
@@ -44,8 +44,8 @@ def is_us_holiday(date: Column) -> Column:
         or_,
         [
             (F.month(date) == month) & (weekday == day_of_week)
-            & F.dayofmonth(date).between(first, last)
-            for month, day_of_week, first, last in FLOATING_DAYS
+            & F.dayofmonth(date).between(first, last) & (F.year(date) >= first_year)
+            for month, day_of_week, first, last, first_year in FLOATING_DAYS
         ],
     )
     observed = ((weekday == FRIDAY) & _fixed(F.date_add(date, 1))) | (

@@ -15,14 +15,35 @@ from tarmac.session import cut, cut_by
 
 EDGES_PER_SLICE = 1_000_000
 LIST_SIZE = 100_000
-MATRIX_COLUMNS = 1_000
 
 
 def parse_adjacency(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Edges from lines of the form ``node<TAB>{'neighbour': count, ...}``."""
-    parts = F.split(F.col(column), "\t")
-    neighbours = F.from_json(F.translate(parts[1], "'", '"'), "map<string,int>")
-    return lines.select(parts[0].alias("src"), F.explode(neighbours).alias("dst", "weight"))
+    """Edges from lines of the form ``node<TAB>{'neighbour': count, ...}``.
+
+    Names may stand in single or double quotes. A node without neighbours gives no edge but is one
+    of ``adjacency_vertices``; a line that cannot be read is counted by ``adjacency_rejects``.
+    """
+    node, neighbours = _adjacency(column)
+    return lines.select(node.alias("src"), F.explode(neighbours).alias("dst", "weight"))
+
+
+def _adjacency(column: str) -> tuple[Column, Column]:
+    parts = F.split(F.col(column), "\t", 2)
+    return F.get(parts, 0), F.from_json(F.get(parts, 1), "map<string,bigint>")
+
+
+def adjacency_vertices(lines: DataFrame, column: str = "value") -> DataFrame:
+    """Distinct nodes of the lines that can be read, with or without neighbours, and neighbours."""
+    node, neighbours = _adjacency(column)
+    names = F.explode(F.concat(F.array(node), F.map_keys(neighbours)))
+    return lines.filter(neighbours.isNotNull()).select(names.alias("id")).distinct()
+
+
+def adjacency_rejects(lines: DataFrame, column: str = "value") -> DataFrame:
+    """Lines, and those without a tab or a readable list of neighbours, as one row."""
+    _, neighbours = _adjacency(column)
+    return lines.agg(F.count(F.lit(1)).alias("lines"),
+                     F.count_if(neighbours.isNull()).alias("rejected"))
 
 
 def edges_from_links(pages: DataFrame, page: str, markup: str) -> DataFrame:
@@ -106,18 +127,12 @@ def adjacency_lists(edges: DataFrame, list_size: int = LIST_SIZE) -> DataFrame:
 
 
 def adjacency_matrix(edges: DataFrame, vertices: DataFrame) -> DataFrame:
-    """Wide matrix of a small graph, one column per vertex, 0 where there is no edge.
+    """The matrix in coordinate form, for a graph of any size: ``src, dst, weight`` where not 0.
 
-    The names of the columns come from the data, so their number is checked. A larger graph
-    stays in the edge table, which is the same matrix in coordinate form.
+    A vertex with an empty row has one line with null ``dst`` and ``weight``.
     """
-    names = [r[0] for r in vertices.select("id").distinct().limit(MATRIX_COLUMNS + 1).collect()]
-    if len(names) > MATRIX_COLUMNS:
-        raise ValueError(f"a wide matrix is limited to {MATRIX_COLUMNS} vertices; use the edges")
-    names.sort()
-    wide = edges.groupBy("src").pivot("dst", names).agg(F.sum("weight"))
-    rows = vertices.select(F.col("id").alias("src")).distinct().join(wide, "src", "left")
-    return rows.fillna(0, subset=[str(n) for n in names])
+    rows = vertices.select(F.col("id").alias("src")).distinct()
+    return rows.join(weighted_edges(edges), "src", "left").select("src", "dst", "weight")
 
 
 def transition_probabilities(
@@ -126,10 +141,12 @@ def transition_probabilities(
 ) -> DataFrame:
     """Edge weight over the weight of all edges of its source; dangling vertices have no row.
 
+    An edge with a null end is no edge, here as in the ranks, and counts in no total.
+
     The source totals are aggregated and joined back: a window would gather a source with very
     many edges in one task. Too many totals to broadcast meet the edges slice by slice.
     """
-    stored = cut(edges)
+    stored = cut(edges.dropna(subset=["src", "dst"]))
     totals = cut(out_degrees(stored))
     if totals.count() <= broadcast_rows:
         known = totals.select(F.col("id").alias("src"), "out_weight")

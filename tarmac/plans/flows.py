@@ -32,11 +32,16 @@ def _new_path(spark):
 
 
 def csv_to_parquet(spark, folder):
-    """Orders out to gzip CSV, typed, kept by year as Parquet, and read back."""
+    """Orders out to CSV, half of them gzip, with more columns and in another order; read by header
+    name, typed, kept by year as Parquet, and read back."""
     raw, typed = _new_path(spark), _new_path(spark)
     orders = table(spark, folder, "orders").withColumn("year", F.year("o_orderdate"))
-    orders.select(_ORDERS.names).write.option("compression", "gzip").csv(raw, header=True)
-    tables.csv_to_parquet(spark, raw, typed, _ORDERS, ["year"])
+    wide = orders.select("o_orderpriority", *reversed(_ORDERS.names))
+    even = F.col("o_orderkey") % 2 == 0
+    wide.filter(even).write.csv(f"{raw}/packed", header=True, compression="gzip")
+    wide.filter(~even).write.csv(f"{raw}/plain", header=True)
+    tables.csv_to_parquet(spark, [f"{raw}/plain", f"{raw}/packed"], typed, _ORDERS, ["year"],
+                          spread=spark.sparkContext.defaultParallelism)
     return tables.read_parquet(spark, typed).select(_ORDERS.names)
 
 

@@ -14,7 +14,7 @@ from tarmac.plans.common import (
 )
 from tarmac.session import cut
 
-_ROUNDS = 3
+_ROUNDS = 10
 
 
 def _purchase_edges(spark, folder):
@@ -82,8 +82,7 @@ def adjacency_list(spark, folder):
 
 def adjacency_matrix(spark, folder):
     nations = table(spark, folder, "nation").select(F.col("n_nationkey").alias("id"))
-    matrix = graph.adjacency_matrix(_nation_edges(spark, folder), nations)
-    return matrix.select("src", *[F.col(f"`{c}`").alias(f"to_{c}") for c in matrix.columns[1:]])
+    return graph.adjacency_matrix(_nation_edges(spark, folder), nations)
 
 
 def transition_probs(spark, folder):
@@ -96,7 +95,7 @@ def power_iteration(spark, folder, squaring=False):
     start = table(spark, folder, "nation").select(
         F.col("n_nationkey").alias("id"),
         F.when(F.col("n_nationkey") == 0, 1.0).otherwise(0.0).alias("mass"))
-    return rounded(graph.power_iteration(matrix, start, 3, squaring), "mass", digits=8)
+    return rounded(graph.power_iteration(matrix, start, 3 if squaring else 10, squaring), "mass", digits=8)
 
 
 def power_iteration_squared(spark, folder):
@@ -330,15 +329,12 @@ SELECT src, CAST(0 AS BIGINT) AS block, string_agg(dst, ',' ORDER BY dst) AS nei
 FROM ({PURCHASES_SQL}) GROUP BY 1"""),
     "adjacency_matrix": Query(adjacency_matrix, f"""
 WITH e AS ({_NATION_EDGES_SQL})
-SELECT n_nationkey AS src, {", ".join(
-    f"CAST(coalesce(sum(weight) FILTER (WHERE dst = {i}), 0) AS BIGINT) AS to_{i}"
-    for i in range(25))}
-FROM nation LEFT JOIN e ON n_nationkey = src GROUP BY 1"""),
+SELECT n_nationkey AS src, dst, weight FROM nation LEFT JOIN e ON n_nationkey = src"""),
     "transition_probs": Query(transition_probs, f"""
 WITH e AS ({PURCHASES_SQL})
 SELECT src, dst, round(weight / (sum(weight) OVER (PARTITION BY src))::DOUBLE, 8) AS probability
 FROM e"""),
-    "power_iteration": Query(power_iteration, _power_sql(3)),
+    "power_iteration": Query(power_iteration, _power_sql(10)),
     "power_iteration_squared": Query(power_iteration_squared, _power_sql(7)),
     "pagerank": Query(pagerank, f"""
 WITH {_RANKS} SELECT id, round(rank, 8) AS rank FROM ranks"""),

@@ -80,7 +80,8 @@ def stage(df: DataFrame) -> DataFrame:
 def spread(df: DataFrame) -> DataFrame:
     """Rows over all cores, for a job that passes over them many times.
 
-    Only where the table lies in fewer files than there are cores; a large one stays as it is.
+    Only where it has fewer partitions than there are cores; a large one, in however few files that
+    can be split, stays as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if len(df.inputFiles()) >= cores else df.repartition(cores)
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

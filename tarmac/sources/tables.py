@@ -6,28 +6,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tarmac.sources.schemas import as_text, conform
+from tarmac.sources.schemas import conform
 
 
 def read_csv(
     spark: SparkSession, path: str | list[str], schema: T.StructType, sep: str = ",",
     spread: int | None = None,
 ) -> DataFrame:
-    """Read headed CSV files, gzip included, with every column as text.
+    """The declared columns of headed CSV files, gzip included, by header name and as text.
 
-    A gzip file cannot be split, so one task reads it; ``spread`` then distributes its rows over
+    The files may have more columns, in any order, but all the same header: one that differs is an
+    error, and so is a declared column that is missing. A gzip file cannot be split, so one task reads it; ``spread`` then distributes its rows over
     that many partitions.
     """
-    df = spark.read.schema(as_text(schema)).csv(path, header=True, sep=sep)
+    df = spark.read.csv(path, header=True, sep=sep, inferSchema=False, enforceSchema=False)
+    missing = [name for name in schema.names if name not in df.columns]
+    if missing:
+        raise ValueError(f"no column {', '.join(missing)} in the header of {path}")
+    df = df.select(*[F.col(f"`{name}`") for name in schema.names])
     return df.repartition(spread) if spread else df
 
 
 def csv_to_parquet(
     spark: SparkSession, source: str | list[str], target: str, schema: T.StructType,
-    partition_by: list[str] | None = None,
+    partition_by: list[str] | None = None, spread: int | None = None,
 ) -> None:
     """Type CSV files once and keep them as Parquet."""
-    write_parquet(conform(read_csv(spark, source, schema), schema), target, partition_by)
+    rows = read_csv(spark, source, schema, spread=spread)
+    write_parquet(conform(rows, schema), target, partition_by)
 
 
 def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:

@@ -77,7 +77,8 @@ def test_chunk_and_date_keys(spark):
 @pytest.mark.parametrize("day, want", [
     ("2015-07-04", True), ("2015-07-03", True), ("2015-11-26", True), ("2015-12-25", True),
     ("2016-05-30", True), ("2015-03-17", False), ("2010-12-31", True), ("2020-06-19", False),
-    ("2021-06-18", True), ("2021-07-05", True), ("2015-01-19", True), (None, False)])
+    ("2021-06-18", True), ("2021-07-05", True), ("2015-01-19", True), (None, False),
+    ("1985-01-21", False), ("1986-01-20", True), ("1965-02-15", False), ("1971-02-15", True)])
 def test_holidays(spark, day, want):
     value = None if day is None else date.fromisoformat(day)
     assert _one(spark, value, holidays.is_us_holiday, "date") is want

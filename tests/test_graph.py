@@ -149,6 +149,23 @@ def test_adjacency_line(spark):
     assert (counts.vertices, counts.dangling) == (3, 2)
 
 
+def test_adjacency_lines_of_all_kinds(spark):
+    lines = spark.createDataFrame([
+        ("a\t{'b': 1}",), ('c\t{"O\'Hare": 2, \'d\': 3}',), ("e\t{}",), ("f\t{'a': 3000000000}",),
+        ("no tab",), ("g\t{'x': ",), (None,)], "value string")
+    assert {tuple(r) for r in graph.parse_adjacency(lines).collect()} == {
+        ("a", "b", 1), ("c", "O'Hare", 2), ("c", "d", 3), ("f", "a", 3_000_000_000)}
+    assert {r.id for r in graph.adjacency_vertices(lines).collect()} == set("abcdef") | {"O'Hare"}
+    assert tuple(graph.adjacency_rejects(lines).first()) == (7, 3)
+
+
+def test_edges_with_a_null_end_are_no_transitions(spark):
+    edges = spark.createDataFrame([("a", "b", 1), ("a", None, 5), (None, "b", 2), ("a", "c", 3)],
+                                  "src string, dst string, weight long")
+    rows = {tuple(r) for r in graph.transition_probabilities(edges).collect()}
+    assert rows == {("a", "b", 0.25), ("a", "c", 0.75)}
+
+
 def test_adjacency_lists_are_whole_when_split(spark):
     edges = graph.weighted_edges(_edges(spark, DANGLING_TOY))
     split = graph.adjacency_lists(edges, 1).collect()
@@ -159,10 +176,11 @@ def test_adjacency_lists_are_whole_when_split(spark):
 
 def test_adjacency_matrix(spark):
     edges = graph.weighted_edges(_edges(spark, DANGLING_TOY))
-    rows = {r.src: tuple(r)[1:] for r in
-            graph.adjacency_matrix(edges, graph.vertices_of(edges)).collect()}
-    assert rows["A"] == (0, 1, 1, 1, 0)
-    assert rows["E"] == (0, 0, 0, 0, 0)
+    cells = {tuple(r) for r in graph.adjacency_matrix(edges, graph.vertices_of(edges)).collect()}
+    assert cells == {tuple(r) for r in edges.collect()} | {("E", None, None)}
+    wide = spark.range(3000).select(
+        F.col("id").cast("string").alias("src"), (F.col("id") + 1).cast("string").alias("dst"))
+    assert graph.adjacency_matrix(wide, graph.vertices_of(wide)).count() == 3001
 
 
 def test_chunk_features_are_true_means(spark):

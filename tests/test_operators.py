@@ -244,6 +244,13 @@ def test_files_round_trip(spark, tmp_path):
     stored = tables.read_parquet(spark, typed)
     assert tuple(tables.content_check(stored, "t").first()) == (2, datetime(2016, 1, 1))
     assert tuple(tables.table_size(stored).first()) == (2, 3)
+    wide = df.select(F.lit("more").alias("z"), "t", "x", "k")
+    wide.write.csv(str(tmp_path / "wide"), header=True)
+    named = tables.read_csv(spark, str(tmp_path / "wide"), schema)
+    assert sorted(schemas.conform(named, schema).collect()) == sorted(df.collect())
+    wide.drop("x").write.csv(str(tmp_path / "short"), header=True)
+    with pytest.raises(ValueError, match="no column x"):
+        tables.read_csv(spark, str(tmp_path / "short"), schema)
     tables.write_lines(df, "k", str(tmp_path / "text"))
     assert {r.value for r in tables.read_lines(spark, str(tmp_path / "text")).collect()} == {
         "a", "b"}

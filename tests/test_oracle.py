@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as registry
 from check import compare, connect
+from tarmac.plans import all_queries
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -13,8 +14,8 @@ def con():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
-def test_query_equals_sql(spark, con, name):
+@pytest.mark.parametrize("name", sorted(all_queries()))
+def test_query_runs_and_equals_its_sql(spark, con, name):
     assert compare(spark, con, name, FOLDER) == ""
 
 
