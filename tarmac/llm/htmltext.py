@@ -20,6 +20,8 @@ from tarmac.session import cut
 
 #: A template occurs on at least so many different pages of a host and on this part of them.
 PAGES, PART = 5, 0.5
+#: Parts into which the pages of each host are dealt.
+SALTS = 32
 
 # Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -235,11 +237,14 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
     sizes = seen.select("host", "page").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
     common = seen.filter(F.col("tree").isNotNull()).groupBy("host", "tree").agg(
         F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least_pages)
-    # at most (subtrees of a page) / part templates a host, so the list of a host is small; stored, so
-    # that the join shuffles both sides and a host with very many pages can be split over tasks
+    # at most (subtrees of a page) / part templates a host, so the list of a host is small and can be
+    # repeated for each salt: the pages of one host are then dealt to SALTS tasks
     lists = cut(common.join(sizes, "host").filter(F.col("n") >= part * F.col("pages")).groupBy("host").agg(
         F.collect_list("tree").alias("_templates")))
-    joined = rows.join(lists.withColumnRenamed("host", "_host"), "_host", "left")
+    salted = lists.select(F.col("host").alias("_host"), "_templates", F.explode(
+        F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long").alias("_salt"))
+    joined = rows.withColumn("_salt", F.pmod(F.xxhash64(key, "_html"), F.lit(SALTS).cast("long"))).join(
+        salted, ["_host", "_salt"], "left")
 
     @F.pandas_udf("string")
     def cleaned(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
