@@ -242,7 +242,7 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
     lists = cut(common.join(sizes, "host").filter(F.col("n") >= part * F.col("pages")).groupBy("host").agg(
         F.collect_list("tree").alias("_templates")))
     salted = lists.select(F.col("host").alias("_host"), "_templates", F.explode(
-        F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long").alias("_salt"))
+        F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("_salt"))
     joined = rows.withColumn("_salt", F.pmod(F.xxhash64(key, "_html"), F.lit(SALTS).cast("long"))).join(
         salted, ["_host", "_salt"], "left")
 
