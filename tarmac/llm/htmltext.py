@@ -16,6 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tarmac.llm.common import BROADCAST_BYTES
 from tarmac.session import cut
 
 #: A template occurs on at least so many different pages of a host and on this part of them.
@@ -210,7 +211,8 @@ def text_of(parts: list[Node], templates: frozenset = frozenset()) -> str:
 
 
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html",
-            least_pages: int = PAGES, part: float = PART) -> DataFrame:
+            least_pages: int = PAGES, part: float = PART,
+            broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """``key, url, text, n_chars`` of every row.
 
     White space is what Unicode calls so. A null or empty html has an empty text. Pages with a null
@@ -218,6 +220,9 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
     make no template; an article is never a template as a whole. ``least_pages`` and ``part`` say on
     how many different pages, and on which part of a host's pages, a subtree must occur. Repeated
     rows come back as often as they came in; other columns are left out.
+
+    Up to ``broadcast_bytes`` the measured template lists of all hosts go to every task and no page
+    moves. Beyond, pages and lists meet in a shuffle, with the same result.
     """
     rows = pages.select(F.col(key).alias(key), F.col(url).alias(url), F.col(html).alias("_html"),
                         F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), "^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/@]*@)?([^/:?#]*)", 1)).alias("_host"))
@@ -239,12 +244,16 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
         F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least_pages)
     # at most (subtrees of a page) / part templates a host, so the list of a host is small and can be
     # repeated for each salt: the pages of one host are then dealt to SALTS tasks
-    lists = cut(common.join(sizes, "host").filter(F.col("n") >= part * F.col("pages")).groupBy("host").agg(
-        F.collect_list("tree").alias("_templates")))
-    salted = lists.select(F.col("host").alias("_host"), "_templates", F.explode(
-        F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("_salt"))
-    joined = rows.withColumn("_salt", F.pmod(F.xxhash64(key, "_html"), F.lit(SALTS).cast("long"))).join(
-        salted, ["_host", "_salt"], "left")
+    lists = cut(common.join(sizes, "host").filter(F.col("n") >= part * F.col("pages")).groupBy(
+        F.col("host").alias("_host")).agg(F.collect_list("tree").alias("_templates")))
+    held = lists.agg(F.sum(F.octet_length("_host") + 8 * F.size("_templates") + 48)).first()[0] or 0
+    if held <= broadcast_bytes:
+        joined = rows.join(F.broadcast(lists), "_host", "left")
+    else:
+        salted = lists.withColumn("_salt", F.explode(
+            F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+        joined = rows.withColumn("_salt", F.pmod(F.xxhash64(key, "_html"), F.lit(SALTS).cast("long"))).join(
+            salted, ["_host", "_salt"], "left")
 
     @F.pandas_udf("string")
     def cleaned(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:

@@ -353,6 +353,8 @@ def test_articles_without_furniture_and_templates(spark):
     assert [texts[i] for i in range(6)] == [[f"own text {i} & more two{i}"] for i in range(6)]
     assert texts[10] == ["Head a b", "m"] and texts[12] == texts[13] == [""] and texts[11] == ["plain"]
     assert texts[14] == [" ".join(["x"] * 20_000)] and texts[15] == ["deep"]
+    shuffled = htmltext.extract(pages, broadcast_bytes=-1).collect()
+    assert sorted((r.page_id, r.text, r.n_chars) for r in shuffled) == got
     assert htmltext.extract(pages.limit(0)).count() == 0
 
 
