@@ -358,6 +358,14 @@ def test_articles_without_furniture_and_templates(spark):
     assert htmltext.extract(pages.limit(0)).count() == 0
 
 
+def test_all_subtrees_are_counted_before_rules():
+    page = "<body><div>Some long words in an unnamed box</div><nav><ul><li>menu</ul></nav><p>text</body>"
+    root = htmltext.page_of(page)
+    assert {"div", "ul", "nav"} >= {n.tag for n in htmltext._postorder(root) if n.hash in htmltext.subtrees(root)} >= {"div"}
+    long = htmltext.page_of("<body><nav><a href=x>A long entry of the menu of a site</a></nav><p>own</body>")
+    assert {n.tag for n in htmltext._postorder(long) if n.hash in htmltext.subtrees(long)} == {"nav", "a"}
+
+
 def test_archives_come_back_whole(spark, tmp_path):
     big = "<p>" + "x" * 200
     rows = [(1, "http://a/ü?q=1", big), (2, None, big), (3, "u", "short"), (4, "u", "short"), (5, "u", None),
