@@ -366,6 +366,17 @@ def test_all_subtrees_are_counted_before_rules():
     assert {n.tag for n in htmltext._postorder(long) if n.hash in htmltext.subtrees(long)} == {"nav", "a"}
 
 
+def test_plain_rules_keep_article_text():
+    long = "The text of the page stands here and is long. " * 3
+    assert htmltext.text_of(f"<main><div>{long}</div><article class=card>More to read</article></main>") == f"{long}More to read"
+    assert htmltext.text_of(f"<body><div>{long}</div><article class=card>More to read</article></body>") == f"{long}More to read"
+    assert htmltext.text_of(f"<main><h1>Head</h1><article>{long}</article></main>") == f"Head {long}".strip()
+    assert htmltext.text_of(f"<body><h1>Head</h1><article>{long}</article></body>") == f"Head {long}".strip()
+    inner = ("<section id='related-work'>Related work</section><h2 id='comments-on-x'>On x</h2>"
+             "<div class='share prices'>Prices</div><p class='notice'>Note</p><div class='related-posts'>gone</div>")
+    assert htmltext.text_of(f"<article>{inner}</article>") == "Related work On x Prices Note"
+
+
 def test_archives_come_back_whole(spark, tmp_path):
     big = "<p>" + "x" * 200
     rows = [(1, "http://a/ü?q=1", big), (2, None, big), (3, "u", "short"), (4, "u", "short"), (5, "u", None),
