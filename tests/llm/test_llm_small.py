@@ -377,6 +377,28 @@ def test_plain_rules_keep_article_text():
     assert htmltext.text_of(f"<article>{inner}</article>") == "Related work On x Prices Note"
 
 
+def test_templates_need_no_majority_and_near_copies_make_none(spark):
+    def own(k, n):
+        return f"<p>Page {k} of this site has words of its own, such as {k * 7919} and {k * 104729}, {n} times.</p>"
+    box, inline = "<div>Read all about our offers of this week</div>", "<x-banner>Buy now</x-banner>"
+    rows = [(k, "http://big.org/", f"<body>{own(k, 1)}{own(k, 2)}{box if k % 5 < 2 else ''}{inline if k % 5 == 3 else ''}")
+            for k in range(40)]
+    rows += [(100 + k, None, f"<body>{own(k, 3)}{own(k, 4)}{box}" if k < 6 else f"<body>{own(k, 3)}") for k in range(20)]
+    shared = "".join(f"<p>Paragraph {i} stands in each of the copies of one long article.</p>" for i in range(6))
+    rows += [(200 + k, "http://copies.org/", f"<body><article>{own(k, 5)}{shared}</article>") for k in range(30)]
+    rows += [(300 + k, "http://quotes.org/", f"<body><article><h1>The heading of every weekly report</h1>{own(k, 6)}{own(k, 7)}"
+              f"{'<p>A sentence that some of the articles quote.</p>' if k < 10 else '<p>Released under the licence of this site.</p>'}")
+             for k in range(40)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in htmltext.extract(pages).collect()}
+    assert not any("offers" in t or "Buy now" in t for t in got.values())
+    assert all(f"{k * 7919}" in got[k] for k in range(40))
+    assert all(got[200 + k].count("Paragraph") == 6 for k in range(30))
+    assert all("quote" in got[300 + k] for k in range(10)) and not any("licence" in t for t in got.values())
+    assert all(got[300 + k].startswith("The heading") for k in range(40))
+    assert {r.page_id: r.text for r in htmltext.extract(pages, broadcast_bytes=-1).collect()} == got
+
+
 def test_archives_come_back_whole(spark, tmp_path):
     big = "<p>" + "x" * 200
     rows = [(1, "http://a/ü?q=1", big), (2, None, big), (3, "u", "short"), (4, "u", "short"), (5, "u", None),
