@@ -293,14 +293,14 @@ def kfold_grid(spark, folder):
 
 def gbt_fit(spark, folder):
     train, test = _encoded(spark, folder)
-    model = models.boosted_trees(_LABEL, depth=4, trees=10, seed=1).fit(train)
+    model = models.boosted_trees(_LABEL, seed=1).fit(train)
     return metrics.regression_metrics(model.transform(test), _LABEL)
 
 
 def grid_search(spark, folder):
     train, test = _encoded(spark, folder)
     grid = [{"depth": d, "trees": t, "rate": r}
-            for d in (2, 3) for t in (3, 5) for r in (0.1, 0.2)]
+            for d in (4, 6) for t in (150, 200) for r in (0.2, 0.3)]
     return models.grid_scores(
         train, test, grid, lambda **s: models.boosted_trees(_LABEL, seed=1, **s),
         models.rmse(_LABEL))
@@ -309,7 +309,7 @@ def grid_search(spark, folder):
 def mlp_fit(spark, folder):
     train, test = (_late(df) for df in _encoded(spark, folder))
     width = len(features.slot_names(train, "features"))
-    model = models.perceptron("label", width, (4, 2), iterations=30).fit(train)
+    model = models.perceptron("label", width, (4, 2)).fit(train)
     counts = cut(metrics.confusion(
         model.transform(test), F.col("label").cast("int"), F.col("prediction").cast("int")))
     return metrics.weighted_scores(counts).crossJoin(metrics.binary_scores(counts))
@@ -321,14 +321,14 @@ def mlp_shapes(spark, folder):
     width = len(features.slot_names(train, "features"))
     return models.grid_scores(
         train, test, [{"hidden": layout} for layout in models.HIDDEN_LAYERS],
-        lambda hidden: models.perceptron("label", width, hidden, iterations=15),
+        lambda hidden: models.perceptron("label", width, hidden),
         models.f3_of_positives("label"))
 
 
 def mlp_areas(spark, folder):
     train, test = (_late(df) for df in _encoded(spark, folder))
     width = len(features.slot_names(train, "features"))
-    model = models.perceptron("label", width, (2,), iterations=30).fit(train)
+    model = models.perceptron("label", width, (2,)).fit(train)
     return models.area_scores(model.transform(test), "label")
 
 

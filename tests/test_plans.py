@@ -1,8 +1,12 @@
 """Properties of physical plans that matter on large data."""
 
+import pytest
+from pyspark.ml.classification import MultilayerPerceptronClassifier
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
-from tarmac.operators import clean, ordered, profile
+from tarmac.operators import clean, models, ordered, profile
+from tarmac.plans import learning
 from tarmac.plans.common import table
 from tarmac.session import cut_by, spread
 
@@ -52,3 +56,34 @@ def test_spread_only_where_partitions_are_few(spark, tmp_path):
     one = str(tmp_path / "one")
     spark.range(100).coalesce(1).write.parquet(one)
     assert spread(spark.read.parquet(one)).rdd.getNumPartitions() == 8
+
+
+def test_learning_queries_fit_the_full_models(spark, monkeypatch):
+    class Stop(Exception):
+        pass
+
+    seen = []
+
+    def stop(estimator, *_):
+        seen.append({p.name: v for p, v in estimator.extractParamMap().items()})
+        raise Stop
+
+    def each(train, valid, grid, build, evaluator):
+        for setting in grid:
+            with pytest.raises(Stop):
+                build(**setting).fit(train)
+        raise Stop
+
+    monkeypatch.setattr(models, "grid_scores", each)
+    monkeypatch.setattr(GBTRegressor, "_fit", stop)
+    monkeypatch.setattr(MultilayerPerceptronClassifier, "_fit", stop)
+    found = {}
+    for name in ("gbt_fit", "grid_search", "mlp_fit", "mlp_shapes", "mlp_areas"):
+        seen.clear()
+        with pytest.raises(Stop):
+            getattr(learning, name)(spark, "/root/testdata/sf0.001")
+        found[name] = list(seen)
+    trees = {n: {(x["maxDepth"], x["maxIter"], x["stepSize"]) for x in found[n]} for n in ("gbt_fit", "grid_search")}
+    assert trees["gbt_fit"] == {(6, 150, 0.2)}
+    assert trees["grid_search"] == {(d, t, r) for d in (4, 6) for t in (150, 200) for r in (0.2, 0.3)}
+    assert all(x["maxIter"] == 100 for n in found if n.startswith("mlp") for x in found[n])
