@@ -7,6 +7,8 @@ length where the profile lacks it. The language with the smallest total wins.
 
 from __future__ import annotations
 
+import pickle
+import uuid
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -15,14 +17,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import append_columns
-from tarmac.session import cut
+from tarmac.llm.common import append_columns, folder_on
+from tarmac.session import cut, shared_folder
 
 #: Longest n-gram, ranks in a profile, and ranks of a text that are compared.
 LONGEST, PROFILE, COMPARED = 3, 400, 300
 #: Counts a task holds before it hands them on, code points it looks at in one go.
 HELD, CHUNK = 500_000, 1 << 20
-#: Ranks that may be sent to the tasks: 24 bytes each, so 24 MB at most.
+#: Ranks that a task holds at a time: up to 32 bytes each, so 32 MB at most.
 MOST_RANKS = 1_000_000
 UNKNOWN = "und"
 _SPACE = 32
@@ -123,51 +125,90 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
         F.col("rank") <= PROFILE).select("lang", "gram", "rank"))
 
 
-def _model(profiles: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Languages, the sorted grams of all profiles, and their rank by language (0: absent)."""
-    if profiles.count() > MOST_RANKS:
-        raise ValueError(f"more than {MOST_RANKS // PROFILE} languages: too many to send to each task")
-    rows = profiles.toPandas()
-    langs = sorted(rows["lang"].unique())
-    grams = np.unique(rows["gram"].to_numpy(np.int64))
-    ranks = np.zeros((len(langs), len(grams)), np.int64)
-    ranks[rows["lang"].map({x: i for i, x in enumerate(langs)}).to_numpy(np.int64),
-          np.searchsorted(grams, rows["gram"].to_numpy(np.int64))] = rows["rank"]
-    return langs, grams, ranks
+def _model(rows: pd.DataFrame) -> tuple:
+    """Languages and grams in order, where each gram's entries start, and their languages and ranks."""
+    langs, owner = np.unique(rows["lang"].to_numpy(object), return_inverse=True)
+    grams, gram = np.unique(rows["gram"].to_numpy(np.int64), return_inverse=True)
+    order = np.argsort(gram, kind="stable")
+    start = np.searchsorted(gram[order], np.arange(len(grams) + 1))
+    return (langs.tolist(), grams, start, owner[order].astype(np.int32),
+            rows["rank"].to_numpy(np.int32)[order])
 
 
-def classify(text: str | None, model) -> tuple[str, float]:
-    """The nearest language and 1 minus its distance as a share of the largest possible one.
+def _top(text: str | None) -> np.ndarray:
+    """The most frequent n-grams of a text in order; none for a null or a text without a letter."""
+    kind, count = _grams(text) if text else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    return kind[np.lexsort((kind, -count))[:COMPARED]]
 
-    ``und`` and 0 for a null, for a text without a letter, and where no profile was learned. Ties go
-    to the language that sorts first.
-    """
-    langs, grams, ranks = model
-    kind, count = _grams(text) if text else ((), ())
-    if not len(kind) or not langs:
-        return UNKNOWN, 0.0
-    top = kind[np.lexsort((kind, -count))[:COMPARED]]
+
+def _nearest(top: np.ndarray, model: tuple) -> tuple[float, str]:
+    """The smallest distance from the languages of a model, and the first language that has it."""
+    langs, grams, start, owner, rank = model
     at = np.minimum(np.searchsorted(grams, top), len(grams) - 1)
-    known = np.where(grams[at] == top, ranks[:, at], 0)
-    away = np.where(known > 0, np.abs(known - np.arange(1, len(top) + 1)), PROFILE).sum(axis=1)
+    hit = np.flatnonzero(grams[at] == top)
+    first = start[at[hit]]
+    n = start[at[hit] + 1] - first
+    places = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+    saved = PROFILE - np.abs(rank[places] - np.repeat(hit + 1, n))
+    away = PROFILE * len(top) - np.bincount(owner[places], saved, len(langs))
     best = int(np.argmin(away))
-    return langs[best], float(1 - away[best] / (PROFILE * len(top)))
+    return float(away[best]), langs[best]
+
+
+def classify(texts: list, models) -> list[tuple[str, float]]:
+    """The nearest language of each text and 1 minus its distance as a share of the largest possible.
+
+    ``models`` yields the languages in blocks. ``und`` and 0 for a null, for a text without a letter,
+    and where no profile was learned. Ties go to the language that sorts first.
+    """
+    tops = [_top(text) for text in texts]
+    best = [(np.inf, UNKNOWN)] * len(tops)
+    for model in models:
+        for i, top in enumerate(tops):
+            if len(top):
+                best[i] = min(best[i], _nearest(top, model), key=lambda x: x[0])
+    return [(UNKNOWN, 0.0) if away == np.inf else (lang, 1 - away / (PROFILE * len(top)))
+            for (away, lang), top in zip(best, tops)]
+
+
+def _store(rows: pd.DataFrame, path: str) -> None:
+    store, base = folder_on(path.rpartition("/")[0])
+    store.create_dir(base)
+    with store.open_output_stream(f"{base}/{path.rpartition('/')[2]}", compression=None) as out:
+        out.write(pickle.dumps(_model(rows)))
+
+
+def _load(path: str) -> tuple:
+    store, base = folder_on(path.rpartition("/")[0])
+    with store.open_input_stream(f"{base}/{path.rpartition('/')[2]}", compression=None) as stream:
+        return pickle.loads(stream.read())
 
 
 def identify(docs: DataFrame, profiles: DataFrame, text: str = "text",
              out: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
     """``docs`` with the predicted language and its score in the two columns of ``out``.
 
-    Only the text is an input of the prediction. The profiles of all languages, PROFILE ranks each,
-    go to every task; their number is checked first.
+    Only the text is an input of the prediction. The profiles of the languages, PROFILE ranks each,
+    go to every task if they are at most MOST_RANKS. Beyond, they lie in the shared folder in blocks
+    of languages of that size, and a task scores its texts against one block after the other.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(_model(profiles))
-
-    def predict(batches):
-        for (texts,) in batches:
-            yield [classify(t, sent.value) for t in texts]
-
-    return append_columns(docs, [text], f"{out[0]} string, {out[1]} double", predict)
+    spark = docs.sparkSession
+    schema = f"{out[0]} string, {out[1]} double"
+    if profiles.count() <= MOST_RANKS:
+        rows = profiles.toPandas()
+        sent = spark.sparkContext.broadcast([_model(rows)] if len(rows) else [])
+        return append_columns(docs, [text], schema, lambda batches: (
+            classify(texts, sent.value) for (texts,) in batches))
+    langs = sorted(row["lang"] for row in profiles.select("lang").distinct().collect())
+    size = max(1, MOST_RANKS // PROFILE)
+    folder = f"{shared_folder(spark)}/profiles-{uuid.uuid4().hex}"
+    paths = []
+    for at in range(0, len(langs), size):
+        block = langs[at:at + size]
+        paths.append(f"{folder}/{at}")
+        _store(profiles.filter(F.col("lang").between(block[0], block[-1])).toPandas(), paths[-1])
+    return append_columns(docs, [text], schema, lambda batches: (
+        classify(texts, map(_load, paths)) for (texts,) in batches))
 
 
 def held_out(key: Column) -> Column:
@@ -186,7 +227,16 @@ def language_id(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
 def keep_identified(docs: DataFrame, key: str = "doc_id", text: str = "text",
                     lang: str = "lang") -> DataFrame:
-    """``docs`` without the rows whose language is ``und``: no text, or no letter in it."""
+    """``docs`` without the rows that have no text, or no letter in it.
+
+    Where profiles were learned, every other text is nearest to one of them, and so is kept however
+    far away it is. Where none was learned (no row has a text and a language), nothing can be told,
+    and every text with a letter is kept as well.
+    """
     out = ("_language_pred", "_language_score")
     profiles = train(docs.filter(~held_out(F.col(key))), text, lang)
+    if profiles.isEmpty():
+        told = append_columns(docs, [text], "_letter boolean", lambda batches: (
+            [(len(_top(t)) > 0,) for t in texts] for (texts,) in batches))
+        return told.filter("_letter").select(*docs.columns)
     return identify(docs, profiles, text, out).filter(F.col(out[0]) != UNKNOWN).select(*docs.columns)

@@ -20,6 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarmac.llm.common import folder_on
 from tarmac.session import shared_folder
 
 #: Bytes read and inflated at a time, and payload bytes of a row batch.
@@ -147,15 +148,6 @@ def _page(uri: str) -> int | None:
 
 # --- Spark ---------------------------------------------------------------------------------------
 
-def _open(folder: str):
-    """The file system of a folder that all executors reach, and the folder's path on it."""
-    from pyarrow import fs
-
-    if "://" not in folder and not folder.startswith("file:"):
-        folder = f"file://{folder}"
-    return fs.FileSystem.from_uri(folder.replace("file:///", "file:/").replace("file:/", "file:///"))
-
-
 def _references(pages: DataFrame, key: str, payload: str, digest: str) -> DataFrame:
     """``pages`` with ``_first``: the smallest key of those with an equal payload, if there are more.
 
@@ -183,11 +175,11 @@ def write_archives(pages: DataFrame, folder: str, key: str = "page_id", url: str
     narrow = pages.select(F.col(key).cast("long").alias("page_id"), F.col(url).alias("url"),
                           F.coalesce(html, F.lit("")).alias("html"))
     dealt = _references(narrow.withColumn("digest", F.sha2("html", 256)), "page_id", "html", "digest")
-    system, root = _open(folder)
+    system, root = folder_on(folder)
     system.create_dir(root)
 
     def write(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        store, base = _open(folder)
+        store, base = folder_on(folder)
         task = TaskContext.get()
         final = f"{base}/part-{task.partitionId():06d}.warc.gz"
         draft = f"{base}/.{uuid.uuid4().hex}"
@@ -225,7 +217,7 @@ def read_archives(spark: SparkSession, folder: str, names: list[str] | None = No
     wanted = [c.split()[0] for c in columns.split(", ")]
 
     def read(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        store, base = _open(folder)
+        store, base = folder_on(folder)
         for part in parts:
             for name in part["name"]:
                 rows, size = [], 0

@@ -111,6 +111,21 @@ def test_languages_are_told_apart_and_odd_texts_are_und(spark):
     assert {r.lang_pred for r in language.language_id(docs_of(spark, odd[:1])).collect()} == {"und"}
 
 
+def test_texts_are_kept_where_no_language_was_learned(spark):
+    rows = [(1, "clean text", None), (2, None, None), (3, "12 %", None), (4, "ça", None)]
+    kept = language.keep_identified(docs_of(spark, rows))
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 4] and kept.columns == docs_of(spark, []).columns
+
+
+def test_languages_in_blocks_are_scored_alike(spark, monkeypatch):
+    words = {"en": "the of and with thing", "de": "der und nicht zwei über", "fr": "le était être pour ça"}
+    rows = [(i, " ".join((words[x].split() * 4)[i % 3:]), x) for i, x in enumerate(list(words) * 20)]
+    rows += [(100, None, "en"), (101, "12", None), (102, "the und était", None)]
+    whole = sorted(language.language_id(docs_of(spark, rows)).collect())
+    monkeypatch.setattr(language, "MOST_RANKS", 1)
+    assert sorted(language.language_id(docs_of(spark, rows)).collect()) == whole
+
+
 def test_grams_of_a_long_text_do_not_depend_on_the_pieces(monkeypatch):
     text = "Ein Wort, zwei Wörter; " * 50
     whole = dict(zip(*map(np.ndarray.tolist, language._grams(text))))
