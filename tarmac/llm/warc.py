@@ -133,11 +133,14 @@ def records(stream) -> Iterator[dict]:
         if kind == "response":
             good = good and len(payload) == http_size and _digest(payload) == fields["warc-payload-digest"]
         name, _, digest = fields["warc-payload-digest"].partition(":")
+        digest = base64.b32decode(digest).hex()
+        if kind == "response":  # what was read, whatever the headers say
+            http_size, digest = len(payload), hashlib.sha256(payload).hexdigest()
         yield {
             "page_id": _page(fields["warc-record-id"]),
             "url": unquote(fields["x-url"][1:], errors="surrogatepass") if fields.get("x-url") else None,
             "record_type": kind, "refers_to": _page(fields.get("warc-refers-to", "")),
-            "payload_bytes": http_size, "payload_digest": base64.b32decode(digest).hex(),
+            "payload_bytes": http_size, "payload_digest": digest,
             "payload": payload if kind == "response" else None, "valid": good and name == "sha256"}
 
 
@@ -206,8 +209,8 @@ def read_archives(spark: SparkSession, folder: str, names: list[str] | None = No
                   payload: bool = True) -> DataFrame:
     """The records of the archives in ``folder``, a task for each few files.
 
-    ``page_id, url, record_type, refers_to, payload_bytes, payload_digest`` (of the full payload, also
-    for revisits), ``valid`` (both digests hold) and, unless ``payload`` is false, ``payload`` (null
+    ``page_id, url, record_type, refers_to, payload_bytes, payload_digest`` (of the full payload: as
+    read for responses, by the headers for revisits), ``valid`` (both digests hold) and, unless ``payload`` is false, ``payload`` (null
     for revisits). A file that is cut off or not framed as its headers say raises an error.
     """
     paths = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(folder)
@@ -242,12 +245,27 @@ def archive_round_trip(pages: DataFrame, key: str = "page_id", url: str = "url",
                        html: str = "html", payload: bool = False) -> DataFrame:
     """Write ``pages`` to archives in the shared folder and read them back.
 
-    Other columns of ``pages`` are left out. An empty table gives no archive and no rows.
+    A record whose digests do not hold raises an error. Other columns of ``pages`` are left out. An empty table gives no archive and no rows.
     """
     spark = pages.sparkSession
     folder = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
     write_archives(pages, folder, key, url, html).write.format("noop").mode("overwrite").save()
-    return read_archives(spark, folder, payload=payload)
+    return checked(read_archives(spark, folder, payload=payload))
+
+
+def checked(rows: DataFrame) -> DataFrame:
+    """``rows`` of archives; one that is not ``valid`` raises an error when it is read.
+
+    The check hangs on ``page_id``, ``payload_bytes`` and ``payload_digest``, so that a query that
+    takes some columns only still makes it.
+    """
+    def held(name):
+        return F.when(F.col("valid"), F.col(name)).otherwise(F.raise_error(
+            F.concat(F.lit("damaged record of page "), F.coalesce(F.col("page_id").cast("string"), F.lit("null")))
+        ).cast(rows.schema[name].dataType)).alias(name)
+
+    return rows.select(*(held(c) if c in ("page_id", "payload_bytes", "payload_digest") else F.col(c)
+                         for c in rows.columns))
 
 
 SQL = """

@@ -441,3 +441,15 @@ def test_reader_finds_damage():
     import gzip
     changed = gzip.compress(gzip.decompress(other).replace(b"payloadp", b"paylaodp", 1))
     assert [r["valid"] for r in warc.records(io.BytesIO(changed))] == [False]
+
+
+def test_digests_are_of_what_was_read(spark, tmp_path):
+    import gzip
+    whole = gzip.decompress(warc.record(1, "u", b"payload" * 30, None)).replace(b"payloadp", b"paylaodp", 1)
+    (tmp_path / "part-0.warc.gz").write_bytes(gzip.compress(whole))
+    rows = warc.read_archives(spark, str(tmp_path))
+    (row,) = rows.collect()
+    assert not row.valid and row.payload_digest == hashlib.sha256(bytes(row.payload)).hexdigest()
+    for column in ("page_id", "payload_digest"):
+        with pytest.raises(Exception, match="damaged record of page 1"):
+            warc.checked(rows).select(column).collect()
