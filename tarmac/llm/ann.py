@@ -40,13 +40,14 @@ def cosine(query: np.ndarray, vectors: np.ndarray) -> np.ndarray:
             / (np.sqrt((query * query).sum()) * np.sqrt((vectors * vectors).sum(axis=1))))
 
 
-def search_block(query_ids, queries, ids, vectors, k: int, seed: int):
+def search_block(query_ids, queries, ids, vectors, k: int, seed: int, times=None):
     """(query id, vector id, cosine) of the k nearest found for each query in one block.
 
     Of unit vectors, the distance on a standard normal line is normal with the vectors' distance as
     its deviation. A window of half-width w holds a vector at distance d with probability
     P(|N| <= w / d): 0.73 for d = w / 1.1, above the asked share. So vectors within w / 1.1 collide
-    often enough, and k verified ones within it end the search.
+    often enough, and k verified ones within it end the search. ``times`` says how often each vector
+    is there, once by default; it is given that often, k times at most.
     """
     lines = _lines(vectors.shape[1], seed)
     unit, unit_queries = _unit(vectors), _unit(queries)
@@ -90,6 +91,8 @@ def search_block(query_ids, queries, ids, vectors, k: int, seed: int):
             rows = rows[scores >= kth - 1e-9]  # rounding aside, the k best; then the exact measure
             scores = cosine(queries[q], vectors[rows])
             top = np.lexsort((ids[rows], -scores))[:k]
+            if times is not None:
+                top = np.repeat(top, np.minimum(times[rows[top]], k))[:k]
             best[q] = (np.full(len(top), query_ids[q]), ids[rows[top]], scores[top])
             del counts[q], known[q], seen[q]
         live = still
@@ -117,10 +120,11 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_
     arrays, so no task holds more than BLOCK vectors and QUERIES queries on average. The best k of
     each block meet in a last ranking. Ties go to the smaller id. Null, empty and zero vectors and
     those with a null or non-finite component, and null ids, take no part; vectors of another length
-    than the query's are no candidates. Repeated rows are found as often as they are there, repeated
-    queries are answered once. Fewer candidates than k are all given; empty tables give no rows.
+    than the query's are no candidates. Repeated rows are one row with a count until they are found,
+    then given as often as they are there; repeated queries are answered once. Fewer candidates than k are all given; empty tables give no rows.
     """
-    base = cut(usable(vectors, key, vector))
+    base = cut(usable(vectors, key, vector).groupBy("id", "v", "dim").agg(
+        F.count(F.lit(1)).alias("times")))
     asked = cut(usable(queries, key, vector).dropDuplicates(["id"]))
     v_blocks = max(1, -(-base.count() // BLOCK))
     q_blocks = max(1, -(-asked.count() // QUERIES))
@@ -138,7 +142,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype(
                 {"query_id": "int64", "vec_id": "int64", "score": "float64"})
         found = search_block(q["id"].to_numpy(), np.stack(q["v"]), v["id"].to_numpy(),
-                             np.stack(v["v"]), k, seed)
+                             np.stack(v["v"]), k, seed, v["times"].to_numpy())
         return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), found)))
 
     keys = ["qb", "vb", "dim"]

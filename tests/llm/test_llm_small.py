@@ -329,6 +329,21 @@ def test_neighbours_recall_and_exact_scores(spark, monkeypatch):
     assert ann.nearest(table.limit(0), table.limit(0)).count() == 0
 
 
+def test_repeated_vectors_are_searched_once(spark):
+    vectors = np.random.default_rng(3).standard_normal((60, 8))
+    times = np.ones(60, np.int64)
+    times[[3, 7]] = 2, 4000
+    ids = np.arange(60)
+    counted = ann.search_block(ids[:6], vectors[:6], ids, vectors, 5, 7, times)
+    repeated = ann.search_block(ids[:6], vectors[:6], np.repeat(ids, times), np.repeat(vectors, times, 0), 5, 7)
+    for a, b in zip(counted, repeated):
+        assert np.array_equal(a, b)
+    rows = [(int(i), [float(x) for x in vectors[i]]) for i in np.repeat(ids, np.minimum(times, 40))]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = ann.nearest(table, table.filter("vec_id < 6")).collect()
+    assert sorted((r.query_id, r.vec_id, r.score) for r in got) == sorted(zip(*(a.tolist() for a in counted)))
+
+
 # --- chats ---------------------------------------------------------------------------------------
 
 def test_only_maximal_conversations_stay(spark):
