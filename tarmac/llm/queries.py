@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tarmac.llm import (ann, chat, decontaminate, htmltext, language, linededup, segment, simhash,
-                        tokencount, warc)
+from tarmac.llm import (ann, chat, decontaminate, fim, htmltext, language, linededup, segment,
+                        simhash, tokencount, warc)
 from tarmac.llm.common import table
 from tarmac.plans.common import Query
 
@@ -55,6 +55,10 @@ def op10_warc(spark, folder):
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op12_fill_in_middle(spark, folder):
+    return fim.report(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_html_text": Query(op1_html_text),
     "op2_simhash": Query(op2_simhash),
@@ -66,4 +70,5 @@ QUERIES = {
     "op8_nearest": Query(op8_nearest),
     "op9_chat_format": Query(op9_chat_format, chat.SQL),
     "op10_warc": Query(op10_warc, warc.SQL),
+    "op12_fill_in_middle": Query(op12_fill_in_middle, fim.SQL),
 }
