@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,6 +45,20 @@ def small_side(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if size <= BROADCAST_BYTES else df
 
 
+_KINDS = (np.int8, np.int16, np.int32, np.int64)
+
+
+def packed(numbers: np.ndarray) -> tuple[str, bytes]:
+    """Whole numbers in the narrowest type that holds them all: its name and the bytes."""
+    low, high = (int(numbers.min()), int(numbers.max())) if numbers.size else (0, 0)
+    kind = next(k for k in _KINDS if np.iinfo(k).min <= low and high <= np.iinfo(k).max)
+    return np.dtype(kind).name, numbers.astype(kind).tobytes()
+
+
+def unpacked(kind: str, data: bytes, columns: int, rows: int = -1) -> np.ndarray:
+    return np.frombuffer(data, kind).reshape(rows, columns).astype(np.int64)
+
+
 def append_columns(df: DataFrame, inputs: list[str], schema: str, make) -> DataFrame:
     """``df`` with the columns of ``schema``, computed in Python from the ``inputs`` columns.
 

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tarmac.llm import (ann, chat, decontaminate, fim, htmltext, language, linededup, segment,
-                        simhash, tokencount, warc)
+from tarmac.llm import (ann, chat, decontaminate, fim, htmltext, language, linededup, lloyd,
+                        segment, simhash, tokencount, topk, warc)
 from tarmac.llm.common import table
 from tarmac.plans.common import Query
 
@@ -55,10 +55,19 @@ def op10_warc(spark, folder):
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_centroids(spark, folder):
+    return lloyd.clusters(table(spark, folder, "embeddings"), k=16, rounds=3, dim=64, scale=64, seed=1)
+
+
 def op12_fill_in_middle(spark, folder):
     return fim.report(table(spark, folder, "documents"))
 
 
+def op13_exact_topk(spark, folder):
+    vectors = table(spark, folder, "embeddings")
+    return topk.exact_topk(vectors, vectors.filter(F.col("vec_id") % 20 == 0), k=20)
+
+
 QUERIES = {
     "op1_html_text": Query(op1_html_text),
     "op2_simhash": Query(op2_simhash),
@@ -70,5 +79,7 @@ QUERIES = {
     "op8_nearest": Query(op8_nearest),
     "op9_chat_format": Query(op9_chat_format, chat.SQL),
     "op10_warc": Query(op10_warc, warc.SQL),
+    "op11_centroids": Query(op11_centroids, lloyd.SQL),
     "op12_fill_in_middle": Query(op12_fill_in_middle, fim.SQL),
+    "op13_exact_topk": Query(op13_exact_topk, topk.SQL),
 }
