@@ -50,11 +50,19 @@ def _before(slices: DataFrame, total: str) -> DataFrame:
 
 def number_rows(df: DataFrame, order: list[Column | str], name: str = "row_num") -> DataFrame:
     """Global 1-based row number: one distributed sort, one stored table, no global window."""
+    return number_rows_and_count(df, order, name)[0]
+
+
+def number_rows_and_count(
+    df: DataFrame, order: list[Column | str], name: str = "row_num"
+) -> tuple[DataFrame, int]:
+    """Numbered rows and how many there are; the count reads one column of the stored table."""
     rows = _staged_in_order(df, order)
-    sizes = rows.groupBy("_slice").agg(F.count(F.lit(1)).alias("n"))
-    return rows.join(F.broadcast(_before(sizes, "n")), "_slice").select(
+    sizes = cut(rows.groupBy("_slice").agg(F.count(F.lit(1)).alias("n")))
+    numbered = rows.join(F.broadcast(_before(sizes, "n")), "_slice").select(
         *df.columns, (F.col("_offset") + F.col("_at") + 1).alias(name)
     )
+    return numbered, sizes.agg(F.sum("n")).first()[0] or 0
 
 
 def _blocks(df: DataFrame, order: list[Column | str], size: int, reach: int) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from itertools import combinations
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +9,7 @@ from tarmac.functions.numbers import cap
 from tarmac.functions.text import numeric_text
 from tarmac.operators.clean import complete_rows
 from tarmac.operators.joins import attach_scalars
+from tarmac.operators.moments import correlations
 from tarmac.operators.ordered import exact_percentiles, moving_average
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
@@ -119,14 +118,8 @@ def correlation(df: DataFrame, a: str, b: str) -> DataFrame:
 
 
 def correlation_table(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Pearson correlation of every pair of columns, from a single aggregate."""
-    pairs = list(combinations(columns, 2))
-    one_row = df.agg(*[F.corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
-    rows = [
-        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"c{i}").alias("correlation"))
-        for i, (a, b) in enumerate(pairs)
-    ]
-    return one_row.select(F.inline(F.array(*rows)))
+    """Pearson correlation of every pair of columns, for many columns, from one scan."""
+    return correlations(df, columns).select("a", "b", "correlation")
 
 
 def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:

@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F
 
 from tarmac.functions.numbers import over_threshold
-from tarmac.operators import features, metrics, models
+from tarmac.operators import features, metrics, models, moments
 from tarmac.operators.clean import split_at
 from tarmac.plans.common import Query, rounded, table
 from tarmac.session import cut, spread
@@ -240,10 +239,9 @@ _ORDER = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
 
 
 def _cv(spark, folder, scheme):
-    rows = VectorAssembler(inputCols=["l_quantity"], outputCol="features").transform(
-        _lines(spark, folder))
-    return models.fold_scores(
-        rows, _ORDER, models.linear(_LABEL), models.rmse(_LABEL), 5, scheme)
+    scores = moments.linear_folds(
+        _lines(spark, folder), _ORDER, _LABEL, ["l_quantity"], folds=5, scheme=scheme)
+    return scores.select("fold", F.col("rmse").alias("metric"), "best")
 
 
 def linear_cv(spark, folder):
@@ -254,6 +252,14 @@ def linear_cv_blocked(spark, folder):
     return rounded(_cv(spark, folder, "blocked"), "metric", digits=4)
 
 
+def linear_cv_models(spark, folder):
+    """The model of every fold with the sizes of its two parts."""
+    scores = moments.linear_folds(_lines(spark, folder), _ORDER, _LABEL, ["l_quantity"], scheme="blocked")
+    return scores.select(
+        "fold", "n_train", "n_valid", F.round(F.col("coefficients")[0], 4).alias("slope"),
+        F.round("intercept", 3).alias("intercept"))
+
+
 def linear_cv_average(spark, folder):
     averages = models.fold_average(_cv(spark, folder, "rolling"))
     return rounded(averages, "avg_metric", "best_metric", digits=4)
@@ -278,17 +284,49 @@ _BLOCKED_SQL = _cv_sql("i >= begin AND i < stop", "i >= stop AND i <= stop + sho
 
 
 def encoded_cv(spark, folder):
-    """Folds with encoders and scalers fitted on the training rows of each fold."""
-    return models.fold_scores(
-        _lines(spark, folder), _ORDER, models.linear(_LABEL), models.rmse(_LABEL), 5, "rolling",
-        features.encoder(_CATEGORIES, _NUMBERS))
+    """Folds over encoded categories. Least squares does not depend on how columns are scaled, and a
+    level that the training rows of a fold lack has no coefficient there, so one encoding serves all."""
+    lines = _lines(spark, folder)
+    stages = features.encoder(_CATEGORIES, _NUMBERS)
+    fitted = stages.fit(lines)
+    encoded = fitted.transform(lines)
+    widths = {f"{c}_onehot": len(features.slot_names(encoded, f"{c}_onehot")) for c in _CATEGORIES}
+    scores = moments.linear_folds(encoded, _ORDER, _LABEL, _NUMBERS, widths)
+    return scores.select("fold", "n_train", "n_valid", F.col("rmse").alias("metric"), "best")
+
+
+_FOLDS = 5
+
+
+def _fold_of(*key):
+    """The fold of a row by the hash of its key, so that it never depends on the partitions."""
+    digest = F.md5(F.concat_ws(":", *[F.col(k).cast("string") for k in key]))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % _FOLDS
+
+
+_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+_FOLD_SQL = ("CAST('0x' || substr(md5(concat_ws(':', l_orderkey, l_linenumber, l_partkey, l_suppkey))"
+             f", 1, 8) AS BIGINT) % {_FOLDS}")
 
 
 def kfold_grid(spark, folder):
-    train, _ = _encoded(spark, folder)
-    estimator = models.linear(_LABEL)
-    grid = ParamGridBuilder().addGrid(estimator.regParam, list(models.REGULARISATION)).build()
-    return models.kfold_scores(train, estimator, grid, models.rmse(_LABEL), 5)
+    """Mean score of every strength over hashed folds, with one feature, which SQL can fit too."""
+    scores = moments.linear_grid(
+        _lines(spark, folder), _fold_of(*_KEY), _LABEL, ["l_quantity"],
+        [(strength, 0.0) for strength in models.REGULARISATION])
+    means = scores.groupBy("strength").agg(F.avg("rmse").alias("metric"))
+    return rounded(means, "metric", digits=4)
+
+
+def kfold_grid_encoded(spark, folder):
+    """The same over encoded categories and scaled numbers, with and without the absolute penalty."""
+    encoded, _ = _encoded(spark, folder)
+    width = len(features.slot_names(encoded, "features"))
+    settings = [(strength, share) for strength in models.REGULARISATION for share in (0.0, 1.0)]
+    scores = moments.linear_grid(
+        encoded, _fold_of(*_KEY), _LABEL, [], settings, {"features": width})
+    return scores.select("fold", "strength", "l1_share", "n_train", "n_valid",
+                         (F.col("rmse") > 0).alias("scored"))
 
 
 def gbt_fit(spark, folder):
@@ -416,11 +454,26 @@ FROM lineitem, f WHERE l_shipdate <= TIMESTAMP '{_CUTOFF}'"""),
 SELECT round(avg(m), 4) AS avg_metric, arg_min(fold, m) AS best_fold,
        round(min(m), 4) AS best_metric FROM o"""),
     "auc_scores": Query(auc_scores, _AREAS_SQL),
+    "linear_cv_models": Query(linear_cv_models, f"""{_BLOCKED_SQL},
+z AS (SELECT fold, count(*) FILTER (WHERE i >= begin AND i < stop) AS n_train,
+        count(*) FILTER (WHERE i >= stop AND i <= stop + short) AS n_valid FROM r, b GROUP BY 1)
+SELECT fold, n_train, n_valid, round(f.a, 4) AS slope, round(f.c, 3) AS intercept
+FROM z JOIN f USING (fold)"""),
     "encoded_cv": Query(encoded_cv),
     "lasso_fit": Query(lasso_fit),
     "coef_topk": Query(coef_topk),
     "without_numbers_fit": Query(without_numbers_fit),
-    "kfold_grid": Query(kfold_grid),
+    "kfold_grid": Query(kfold_grid, f"""
+WITH r AS (SELECT l_quantity AS x, {_LABEL} AS y, {_FOLD_SQL} AS k FROM lineitem),
+g AS (SELECT unnest([{", ".join(map(str, models.REGULARISATION))}])::DOUBLE AS strength),
+m AS (SELECT g.k, count(*) AS n, avg(x) AS mx, avg(y) AS my, var_pop(x) AS vx, covar_pop(x, y) AS c,
+        stddev_pop(y) AS sy
+      FROM (SELECT unnest(range({_FOLDS})) AS k) g JOIN r ON r.k <> g.k GROUP BY 1),
+w AS (SELECT k, strength, c / (vx + strength / sy * vx) AS a, mx, my FROM m, g),
+s AS (SELECT strength, w.k, sqrt(avg(pow(y - my - a * (x - mx), 2))) AS rmse
+      FROM w JOIN r ON r.k = w.k GROUP BY 1, 2)
+SELECT strength, round(avg(rmse), 4) AS metric FROM s GROUP BY 1"""),
+    "kfold_grid_encoded": Query(kfold_grid_encoded),
     "gbt_fit": Query(gbt_fit),
     "grid_search": Query(grid_search),
     "mlp_fit": Query(mlp_fit),
