@@ -71,7 +71,8 @@ def rmse(label: str) -> RegressionEvaluator:
     return RegressionEvaluator(labelCol=label, metricName="rmse")
 
 
-def _at_once(spark: SparkSession, task: Callable, items: list) -> list:
+def fit_at_once(spark: SparkSession, task: Callable, items: list) -> list:
+    """Run a few independent fits at a time; the driver only submits their jobs."""
     with ThreadPoolExecutor(FITS_AT_ONCE) as pool:
         return list(pool.map(inheritable_thread_target(spark)(task), items))
 
@@ -101,7 +102,7 @@ def fold_scores(
             train, valid = fitted.transform(train), fitted.transform(valid)
         return fold.fold, evaluator.evaluate(estimator.fit(train).transform(valid))
 
-    rows = _at_once(df.sparkSession, score, fold_bounds(numbered.count(), folds, scheme))
+    rows = fit_at_once(df.sparkSession, score, fold_bounds(numbered.count(), folds, scheme))
     return _marked_best(rows, "fold int", evaluator.isLargerBetter(), df)
 
 
@@ -125,7 +126,7 @@ def grid_scores(
         return str(setting), evaluator.evaluate(fitted.transform(valid))
 
     try:
-        rows = _at_once(train.sparkSession, score, grid)
+        rows = fit_at_once(train.sparkSession, score, grid)
     finally:
         train.unpersist()
         valid.unpersist()

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tarmac.functions.numbers import over_threshold
-from tarmac.operators import features, metrics, models, moments
+from tarmac.operators import features, folds, metrics, models, moments
 from tarmac.operators.clean import split_at
+from tarmac.operators.splits import fold_bounds, fold_rows
 from tarmac.plans.common import Query, rounded, table
-from tarmac.session import cut, spread
+from tarmac.session import cut, new_folder, spread
 
 _CATEGORIES = ["l_returnflag", "l_linestatus"]
 _NUMBERS = ["l_quantity", "l_discount", "l_tax"]
@@ -329,6 +331,50 @@ def kfold_grid_encoded(spark, folder):
                          (F.col("rmse") > 0).alias("scored"))
 
 
+def _scores(predictions):
+    """Weighted and binary scores of class predictions, and the precision and recall of pyspark.ml."""
+    counts = cut(metrics.confusion(
+        predictions, F.col("label").cast("int"), F.col("prediction").cast("int")))
+    return metrics.weighted_scores(counts).crossJoin(metrics.binary_scores(counts))
+
+
+def _classifier_run(spark, folder, run):
+    rows = _late(_lines(spark, folder)).select(*_ORDER, "l_discount", "l_tax", *_CATEGORIES, "label")
+    return folds.cross_validate(
+        rows.drop(_LABEL), [c for c in _ORDER if c != _LABEL],
+        lambda width: models.perceptron("label", width, (2,)), _scores, "f_beta_weighted", run,
+        prepare=features.encoder(_CATEGORIES, _NUMBERS))
+
+
+def classifier_cv(spark, folder):
+    """Weighted F3 of a perceptron on rolling folds; every fold's pipeline is stored."""
+    scores = _classifier_run(spark, folder, new_folder(spark, "folds"))
+    return scores.select(
+        "fold", "n_train", "n_valid", "weighted_precision", "weighted_recall", "f_beta_weighted", "best")
+
+
+def classifier_cv_check(spark, folder):
+    """What must hold of such a run, whatever the perceptron learned: the sizes and positives of the
+    folds, its scores as ``pyspark.ml`` computes them, a second call that finds all folds done, and a
+    reloaded best pipeline that predicts as it did when it was fitted."""
+    run = new_folder(spark, "folds")
+    scores = _classifier_run(spark, folder, run)
+    again = _classifier_run(spark, folder, run)
+    rows = spark.read.parquet(f"{run}/rows")
+    best = scores.filter("best").first()
+    bounds = fold_bounds(rows.count())[best["fold"] - 1]
+    predictions = folds.best_model(again).transform(fold_rows(rows, bounds)[1])
+    now = _scores(predictions).first()
+    judged = [MulticlassClassificationEvaluator(labelCol="label", metricName=name).evaluate(predictions)
+              for name in ("weightedPrecision", "weightedRecall")]
+    alike = all(abs(a - b) < 1e-9 for a, b in zip(
+        (*now, *judged), (*[best[c] for c in now.__fields__], *now[:2])))
+    kept = scores.exceptAll(again).isEmpty()
+    return scores.select(
+        "fold", "n_train", "n_valid", (F.col("tp") + F.col("fn")).alias("positives"),
+        F.lit(alike).alias("reloaded_alike"), F.lit(kept).alias("found_again"))
+
+
 def gbt_fit(spark, folder):
     train, test = _encoded(spark, folder)
     model = models.boosted_trees(_LABEL, seed=1).fit(train)
@@ -474,6 +520,14 @@ s AS (SELECT strength, w.k, sqrt(avg(pow(y - my - a * (x - mx), 2))) AS rmse
       FROM w JOIN r ON r.k = w.k GROUP BY 1, 2)
 SELECT strength, round(avg(rmse), 4) AS metric FROM s GROUP BY 1"""),
     "kfold_grid_encoded": Query(kfold_grid_encoded),
+    "classifier_cv": Query(classifier_cv),
+    "classifier_cv_check": Query(classifier_cv_check, f"""
+WITH r AS (SELECT {_LABEL} > 50000 AS late,
+             row_number() OVER (ORDER BY {", ".join(_ORDER[:-1])}) AS i FROM lineitem),
+n AS (SELECT count(*) AS n FROM r), k AS (SELECT CAST(unnest([1, 2, 3, 4, 5]) AS INT) AS fold)
+SELECT fold, fold * n // 6 AS n_train, count(*) AS n_valid, count(*) FILTER (WHERE late) AS positives,
+       TRUE AS reloaded_alike, TRUE AS found_again
+FROM k, n JOIN r ON i > fold * n // 6 AND i <= fold * n // 6 + n // 6 GROUP BY 1, 2"""),
     "gbt_fit": Query(gbt_fit),
     "grid_search": Query(grid_search),
     "mlp_fit": Query(mlp_fit),

@@ -66,13 +66,18 @@ def cut_by(df: DataFrame, *columns: str) -> DataFrame:
         spark.conf.set("spark.sql.adaptive.enabled", adaptive)
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nothing else uses."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Compute ``df`` once into a Parquet table in the shared folder and read it back.
 
     Chosen over ``cut`` where later steps read only some of the columns.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/staged-{uuid.uuid4().hex}"
+    path = new_folder(spark, "staged")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
