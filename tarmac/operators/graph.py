@@ -9,9 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tarmac.operators import blocks
 from tarmac.operators.clean import complete_rows
 from tarmac.operators.joins import BROADCAST_ROWS, attach_scalars, broadcast_if_small
-from tarmac.session import cut, cut_by
+from tarmac.operators.ordered import number_rows
+from tarmac.session import cut, cut_by, stage
 
 EDGES_PER_SLICE = 1_000_000
 LIST_SIZE = 100_000
@@ -115,14 +117,18 @@ def _sliced(edges: DataFrame, degrees: DataFrame, per_slice: int, by: tuple[str,
 
 
 def adjacency_lists(edges: DataFrame, list_size: int = LIST_SIZE) -> DataFrame:
-    """Sorted neighbour lists.
+    """Sorted neighbour lists: ``src, block, neighbours``.
 
-    A source with more than ``list_size`` neighbours gets several rows, numbered by ``block``, so
-    that no row and no task has to hold all its neighbours. No neighbour is left out.
+    Block b holds the neighbours from place b * ``list_size`` on in the order of the source, so
+    the blocks of a source one after the other are its list, at any number of neighbours, and no
+    row and no task has to hold more than a block. The places come from one distributed sort.
     """
-    rows = _sliced(edges, out_degrees(edges), list_size)
-    return rows.groupBy("src", F.col("_slice").alias("block")).agg(
-        F.sort_array(F.collect_set("dst")).alias("neighbours")
+    numbered = stage(number_rows(edges.select("src", "dst").distinct(), ["src", "dst"], "_row"))
+    starts = stage(numbered.groupBy("src").agg(F.min("_row").alias("_first")))
+    placed = numbered.join(broadcast_if_small(starts), "src")
+    block = F.floor((F.col("_row") - F.col("_first")) / F.lit(list_size))
+    return placed.groupBy("src", block.alias("block")).agg(
+        F.sort_array(F.collect_list("dst")).alias("neighbours")
     )
 
 
@@ -285,15 +291,19 @@ def total_mass(ranks: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
 def power_iteration(
     probabilities: DataFrame, start: DataFrame, steps: int, squaring: bool = False,
     edges_per_slice: int = EDGES_PER_SLICE, broadcast_rows: int = BROADCAST_ROWS,
-    cut_every: int = 8,
+    cut_every: int = 8, side: int = blocks.SIDE, block_products: int = blocks.PRODUCTS,
 ) -> DataFrame:
     """Multiply the row vector ``start(id, mass)`` with the transition matrix, ``steps`` times.
 
     ``squaring`` gives the state after ``steps`` steps that square the matrix each time. Step i
-    then multiplies by the matrix to the power 2^i, so the whole run is 2^steps - 1 plain
-    multiplications. They are done one by one on the vector: a squared matrix of a sparse graph
-    is dense, and its self-join would emit every pair of edges through a hub.
+    then multiplies by the matrix to the power 2^i, so the whole run is worth 2^steps - 1 plain
+    multiplications. The matrix is squared in blocks as long as that takes at most
+    ``block_products`` products of blocks, and beyond that the vector is multiplied more often.
     """
+    if squaring:
+        edges = cut(probabilities.select("src", "dst", F.col("probability").alias("weight")))
+        return blocks.squaring_steps(
+            edges, vertices_of(edges), start, steps, side, block_products)
     matrix = cut(probabilities.withColumnRenamed("probability", "weight"))
     everyone = cut(vertices_of(matrix))
     small = everyone.count() <= broadcast_rows
@@ -305,7 +315,7 @@ def power_iteration(
     if not small:
         matrix = _lay_out(matrix, degrees, edges_per_slice)
     vector = start.select("id", "mass")
-    for step in range(1, (2**steps - 1 if squaring else steps) + 1):
+    for step in range(1, steps + 1):
         sent = vector.select(F.col("id").alias("src"), F.col("mass").alias("_unit"))
         senders = sent.withColumn("parts", F.lit(1)) if small else sent.join(slices, "src")
         vector = _send(matrix, senders, (), small).groupBy("id").agg(F.sum("_in").alias("mass"))

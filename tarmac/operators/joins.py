@@ -7,16 +7,25 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 500_000
+BROADCAST_ROWS, BROADCAST_BYTES = 500_000, 64 << 20
+ROW_BYTES = 24  # of a value that is not text, and beside the bytes of one that is
+
+
+def table_bytes(table: DataFrame) -> int:
+    """About how much memory the rows take: the bytes of their text and a fixed part per value."""
+    size = sum((F.coalesce(F.octet_length(c), F.lit(0)) if kind in ("string", "binary") else F.lit(0))
+               + ROW_BYTES for c, kind in table.dtypes)
+    return table.agg(F.sum(size.cast("long"))).first()[0] or 0
 
 
 def broadcast_if_small(table: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast if the table has at most ``max_rows`` rows.
+    """Hint a broadcast if the table has at most ``max_rows`` rows, and 64 MB in all.
 
-    The count is a job of its own: pass a stored table, not a long plan. Above the bound the
+    The measure is a job of its own: pass a stored table, not a long plan. Above the bound the
     table keeps no hint, and the sort-merge join relies on AQE to split skewed keys.
     """
-    return F.broadcast(table) if table.count() <= max_rows else table
+    small = table.count() <= max_rows and table_bytes(table) <= BROADCAST_BYTES
+    return F.broadcast(table) if small else table
 
 
 def same_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:

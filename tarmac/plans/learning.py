@@ -8,7 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tarmac.functions.numbers import over_threshold
-from tarmac.operators import features, folds, metrics, models, moments
+from tarmac.operators import encoding, features, folds, metrics, models, moments
 from tarmac.operators.clean import split_at
 from tarmac.operators.splits import fold_bounds, fold_rows
 from tarmac.plans.common import Query, rounded, table
@@ -48,19 +48,40 @@ def category_index(spark, folder):
 
 def one_hot_width(spark, folder):
     parts = table(spark, folder, "part")
-    stages = features.encoder(["p_brand", "p_type"], ["p_retailprice"], unseen="error")
-    encoded = stages.fit(parts).transform(parts)
-    widths = [len(features.slot_names(encoded, c)) for c in ("p_brand_onehot", "p_type_onehot")]
-    return parts.agg(F.lit(widths[0]).cast("long").alias("brand_width"),
-                     F.lit(widths[1]).cast("long").alias("type_width"),
-                     F.count(F.lit(1)).alias("n"))
+    slots = encoding.fit_encoding(parts, ["p_brand", "p_type"], drop_last=True).levels
+    widths = slots.agg(
+        F.count(F.when(F.col("column") == "p_brand", F.col("slot"))).alias("brand_width"),
+        F.count(F.when(F.col("column") == "p_type", F.col("slot"))).alias("type_width"))
+    return widths.crossJoin(parts.agg(F.count(F.lit(1)).alias("n")))
 
 
 def one_hot_names(spark, folder):
     parts = table(spark, folder, "part")
-    stages = features.encoder(["p_type"], ["p_retailprice"], unseen="error")
-    names = features.slot_names(stages.fit(parts).transform(parts), "p_type_onehot")
-    return spark.createDataFrame(list(enumerate(names)), "slot long, level string")
+    names = encoding.slot_table(encoding.fit_encoding(parts, ["p_type"], drop_last=True))
+    return names.select(F.col("slot").cast("long").alias("slot"), "level")
+
+
+def _texts(spark, folder):
+    """Documents with a number and three columns: whole texts, nearly all distinct, and two short ones."""
+    return table(spark, folder, "documents").select("doc_id", "n_chars", "text", "lang", "source")
+
+
+def one_hot_slots(spark, folder):
+    """Every document's slots, where whole texts are levels too."""
+    docs = _texts(spark, folder)
+    fitted = encoding.fit_encoding(docs, ["lang", "text", "source"], ["n_chars"])
+    encoded = encoding.encode(docs, fitted, ["doc_id"])
+    vector = F.col("features").cast("string")
+    return encoded.select(
+        "doc_id", F.regexp_extract(vector, r"\((\d+),", 1).cast("int").alias("width"),
+        F.regexp_extract(vector, r"\[([\d,]*)\]", 1).alias("slots"))
+
+
+def one_hot_levels(spark, folder):
+    """Index and slot of every level of the whole texts and sources."""
+    fitted = encoding.fit_encoding(_texts(spark, folder), ["text", "source"], drop_last=True)
+    return fitted.levels.select(
+        "column", F.md5("level").alias("level_md5"), "n", F.col("index"), "slot")
 
 
 def label_index(spark, folder):
@@ -452,6 +473,23 @@ WITH l AS (SELECT p_type AS level, count(*) AS n FROM part GROUP BY 1),
 i AS (SELECT *, row_number() OVER (ORDER BY n DESC, level) - 1 AS slot, count(*) OVER () AS k
   FROM l)
 SELECT slot, level FROM i WHERE slot < k - 1"""),
+    "one_hot_levels": Query(one_hot_levels, """
+WITH c AS (SELECT 'text' AS "column", text AS level FROM documents WHERE text IS NOT NULL
+    UNION ALL SELECT 'source', source FROM documents WHERE source IS NOT NULL),
+l AS (SELECT "column", level, count(*) AS n FROM c GROUP BY 1, 2),
+i AS (SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY n DESC, level) - 1 AS index,
+        count(*) OVER (PARTITION BY "column") AS k FROM l),
+w AS (SELECT count(*) - 1 AS w FROM l WHERE "column" = 'text')
+SELECT "column", md5(level) AS level_md5, n, index, CAST(CASE WHEN index < k - 1 THEN
+  index + CASE WHEN "column" = 'source' THEN w ELSE 0 END END AS INT) AS slot FROM i, w"""),
+    "one_hot_slots": Query(one_hot_slots, """
+WITH c AS (SELECT doc_id, 0 AS p, lang AS level FROM documents WHERE lang IS NOT NULL
+    UNION ALL SELECT doc_id, 1, text FROM documents WHERE text IS NOT NULL
+    UNION ALL SELECT doc_id, 2, source FROM documents WHERE source IS NOT NULL),
+l AS (SELECT p, level, row_number() OVER (ORDER BY p, count(*) DESC, level) AS slot FROM c GROUP BY 1, 2),
+s AS (SELECT doc_id, string_agg(slot, ',' ORDER BY slot) AS slots FROM c JOIN l USING (p, level) GROUP BY 1)
+SELECT doc_id, (SELECT CAST(count(*) + 1 AS INT) FROM l) AS width, concat_ws(',', '0', slots) AS slots
+FROM documents LEFT JOIN s USING (doc_id)"""),
     "label_index": Query(label_index, f"""
 WITH f AS (SELECT CASE WHEN {_LABEL} > 50000 THEN 'late' ELSE 'on time' END AS flag,
                   count(*) AS n FROM lineitem GROUP BY 1)

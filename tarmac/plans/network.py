@@ -14,7 +14,8 @@ from tarmac.plans.common import (
 )
 from tarmac.session import cut
 
-_ROUNDS = 10
+_ROUNDS, _YEARLY_ROUNDS, _SQUARINGS = 10, 15, 10
+_LIST = 16
 
 
 def _purchase_edges(spark, folder):
@@ -76,7 +77,7 @@ def node_count(spark, folder):
 
 
 def adjacency_list(spark, folder):
-    lists = graph.adjacency_lists(_purchase_edges(spark, folder))
+    lists = graph.adjacency_lists(_purchase_edges(spark, folder), _LIST)
     return lists.select("src", "block", F.array_join("neighbours", ",").alias("neighbours"))
 
 
@@ -95,7 +96,8 @@ def power_iteration(spark, folder, squaring=False):
     start = table(spark, folder, "nation").select(
         F.col("n_nationkey").alias("id"),
         F.when(F.col("n_nationkey") == 0, 1.0).otherwise(0.0).alias("mass"))
-    return rounded(graph.power_iteration(matrix, start, 3 if squaring else 10, squaring), "mass", digits=8)
+    return rounded(graph.power_iteration(matrix, start, _SQUARINGS if squaring else 10, squaring),
+                   "mass", digits=8)
 
 
 def power_iteration_squared(spark, folder):
@@ -118,6 +120,25 @@ x0 AS (SELECT n_nationkey AS id, CASE WHEN n_nationkey = 0 THEN 1.0::DOUBLE ELSE
 SELECT id, round(mass, 8) AS mass FROM x{multiplications}"""
 
 
+def _squarings_sql(steps):
+    """Each step multiplies the vector by the matrix, and then the matrix by itself."""
+    ctes = "".join(
+        f""",
+x{i} AS MATERIALIZED (SELECT dst AS id, sum(mass * p) AS mass FROM x{i - 1} JOIN m{i - 1} ON id = src
+  GROUP BY 1),
+m{i} AS MATERIALIZED (SELECT a.src, b.dst, sum(a.p * b.p) AS p FROM m{i - 1} a
+  JOIN m{i - 1} b ON a.dst = b.src GROUP BY 1, 2)"""
+        for i in range(1, steps + 1)
+    )
+    return f"""
+WITH e AS MATERIALIZED ({_NATION_EDGES_SQL}),
+m0 AS MATERIALIZED (SELECT src, dst, weight / (sum(weight) OVER (PARTITION BY src))::DOUBLE AS p
+  FROM e),
+x0 AS (SELECT n_nationkey AS id, CASE WHEN n_nationkey = 0 THEN 1.0::DOUBLE ELSE 0 END AS mass
+  FROM nation){ctes}
+SELECT id, round(mass, 8) AS mass FROM x{steps}"""
+
+
 def pagerank(spark, folder):
     ranks = graph.pagerank(purchases(spark, folder), iterations=_ROUNDS)
     return rounded(ranks, "rank", digits=8)
@@ -152,7 +173,7 @@ def pagerank_slice(spark, folder):
 def _yearly_ranks(trip_rows):
     edges = trip_rows.select(
         "year", F.col("origin").alias("src"), F.col("dest").alias("dst"))
-    return graph.pagerank(edges, by=("year",), iterations=_ROUNDS, scale="count")
+    return graph.pagerank(edges, by=("year",), iterations=_YEARLY_ROUNDS, scale="count")
 
 
 def _dated_trips(spark, folder):
@@ -325,8 +346,9 @@ d AS (SELECT count(*) AS k FROM v WHERE id NOT IN (SELECT src FROM e))
 SELECT count(*) AS vertices, any_value(k) AS dangling,
        round(any_value(k)::DOUBLE / count(*), 6) AS dangling_share FROM v, d"""),
     "adjacency_list": Query(adjacency_list, f"""
-SELECT src, CAST(0 AS BIGINT) AS block, string_agg(dst, ',' ORDER BY dst) AS neighbours
-FROM ({PURCHASES_SQL}) GROUP BY 1"""),
+WITH e AS (SELECT src, dst, (row_number() OVER (PARTITION BY src ORDER BY dst) - 1) // {_LIST} AS block
+  FROM ({PURCHASES_SQL}))
+SELECT src, block, string_agg(dst, ',' ORDER BY dst) AS neighbours FROM e GROUP BY 1, 2"""),
     "adjacency_matrix": Query(adjacency_matrix, f"""
 WITH e AS ({_NATION_EDGES_SQL})
 SELECT n_nationkey AS src, dst, weight FROM nation LEFT JOIN e ON n_nationkey = src"""),
@@ -335,7 +357,7 @@ WITH e AS ({PURCHASES_SQL})
 SELECT src, dst, round(weight / (sum(weight) OVER (PARTITION BY src))::DOUBLE, 8) AS probability
 FROM e"""),
     "power_iteration": Query(power_iteration, _power_sql(10)),
-    "power_iteration_squared": Query(power_iteration_squared, _power_sql(7)),
+    "power_iteration_squared": Query(power_iteration_squared, _squarings_sql(_SQUARINGS)),
     "pagerank": Query(pagerank, f"""
 WITH {_RANKS} SELECT id, round(rank, 8) AS rank FROM ranks"""),
     "pagerank_mass": Query(pagerank_mass, f"""
@@ -352,17 +374,17 @@ WITH {_RANKS} SELECT id, round(rank, 8) AS rank FROM ranks ORDER BY 2 DESC, 1 LI
 WITH {_RANKS} SELECT id, round(rank, 8) AS rank FROM ranks ORDER BY 2 DESC, 1
 LIMIT 20 OFFSET 20"""),
     "pagerank_by_year": Query(pagerank_by_year, f"""
-WITH {_pagerank_ctes(_YEAR_EDGES_SQL.format(where=""), _ROUNDS, "count", "year")}
+WITH {_pagerank_ctes(_YEAR_EDGES_SQL.format(where=""), _YEARLY_ROUNDS, "count", "year")}
 SELECT year, id, round(rank, 8) AS rank FROM ranks"""),
     "attach_rank_both_ends": Query(attach_rank_both_ends, f"""
-WITH {_pagerank_ctes(_YEAR_EDGES_SQL.format(where=""), _ROUNDS, "count", "year")},
+WITH {_pagerank_ctes(_YEAR_EDGES_SQL.format(where=""), _YEARLY_ROUNDS, "count", "year")},
 t AS (SELECT *, CAST(year(o_orderdate) AS INT) AS year FROM ({TRIPS_SQL}))
 SELECT l_orderkey, l_linenumber, l_partkey, t.year, origin, dest,
        round(a.rank, 8) AS origin_rank, round(b.rank, 8) AS dest_rank
 FROM t LEFT JOIN ranks a ON a.year = t.year AND a.id = origin
 LEFT JOIN ranks b ON b.year = t.year AND b.id = dest"""),
     "mean_rank_holdout": Query(mean_rank_holdout, f"""
-WITH {_pagerank_ctes(_YEAR_EDGES_SQL.format(where="WHERE year(o_orderdate) <> 2000"), _ROUNDS,
+WITH {_pagerank_ctes(_YEAR_EDGES_SQL.format(where="WHERE year(o_orderdate) <> 2000"), _YEARLY_ROUNDS,
                      "count", "year")},
 a AS (SELECT id, avg(rank) AS rank FROM ranks GROUP BY 1),
 t AS (SELECT *, CAST(year(o_orderdate) AS INT) AS year FROM ({TRIPS_SQL}))

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tarmac.operators import graph
+from tarmac.operators import blocks, graph
 
 TOY = "AB AD BC BE CD DE EA EB EC".split()
 DANGLING_TOY = "AB AC AD BD BE CA CE DB".split()
@@ -110,7 +110,7 @@ def test_power_iteration_reaches_the_steady_state(spark):
 def test_power_iteration_on_every_plan(spark, plan):
     matrix = graph.transition_probabilities(graph.weighted_edges(_edges(spark, TOY)))
     start = spark.createDataFrame([("A", 1.0)], "id string, mass double")
-    got = graph.power_iteration(matrix, start, 2, squaring=True, **plan)
+    got = graph.power_iteration(matrix, start, 3, **plan)
     targets = {}
     for pair in TOY:
         targets.setdefault(pair[0], []).append(pair[1])
@@ -124,6 +124,32 @@ def test_power_iteration_on_every_plan(spark, plan):
     assert {r.id: r.mass for r in got.collect()} == pytest.approx(mass)
 
 
+@pytest.mark.parametrize("side, products, per_key", [(2, 10**6, 1), (3, 10**6, 1024), (256, 10**6, 1024), (2, 9, 2), (4, 0, 1)])
+def test_squaring_steps_in_blocks_of_any_size_and_beyond_them(spark, side, products, per_key):
+    import random
+
+    import numpy as np
+
+    draw = random.Random(5)
+    names = [f"n{i:02}" for i in range(11)]
+    # a hub that a third of all edges touch, a vertex without outgoing edges, one that only sends
+    pairs = {(draw.choice(names[:10]), draw.choice(names)) for _ in range(18)} | {("n03", n) for n in names[::2]}
+    pairs |= {(n, "n03") for n in names[1:9:2]}
+    matrix = graph.transition_probabilities(graph.weighted_edges(_edges(spark, sorted(pairs))))
+    start = spark.createDataFrame([("n03", 0.75), ("n05", 0.25), ("nowhere", 3.0)], "id string, mass double")
+    edges = matrix.withColumnRenamed("probability", "weight")
+    got = blocks.squaring_steps(edges, graph.vertices_of(edges), start, 4, side, products, per_key).collect()
+    ids = sorted({v for pair in pairs for v in pair})
+    dense = np.zeros((len(ids), len(ids)))
+    for r in matrix.collect():
+        dense[ids.index(r.src), ids.index(r.dst)] = r.probability
+    state = np.zeros(len(ids))
+    state[ids.index("n03")], state[ids.index("n05")] = 0.75, 0.25
+    for _ in range(15):
+        state = state @ dense
+    assert {r.id: r.mass for r in got} == pytest.approx(dict(zip(ids, state)), abs=1e-12)
+
+
 def test_power_iteration_loses_mass_at_a_dangling_vertex(spark):
     matrix = graph.transition_probabilities(graph.weighted_edges(_edges(spark, DANGLING_TOY)))
     start = spark.createDataFrame([("A", 1.0)], "id string, mass double")
