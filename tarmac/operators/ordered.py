@@ -12,6 +12,7 @@ Every ``order`` must be total: end it with a unique column.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from math import frexp, ldexp
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,6 +26,7 @@ DISTINCT_PER_TASK = 1_000_000
 # Groups whose maps of values a task holds at once, before Spark sorts by group instead
 # (the default of spark.sql.objectHashAggregate.sortBased.fallbackThreshold).
 GROUPS_AT_ONCE = 128
+MANTISSA_BITS = 52
 # Width of the in-partition counter of monotonically_increasing_id (documented by Spark).
 COUNTER_BITS = 33
 
@@ -134,23 +136,46 @@ def moving_average(
 ) -> DataFrame:
     """Mean of the value over the last ``rows`` rows; null until that many values were seen.
 
-    The budget is lower than elsewhere, because every row sums up a whole frame.
+    Running sums come from one distributed sort, a sum per sort task and the sums before each task.
+    A frame is the difference of two of them, so its length does not matter. Every value is split
+    into a multiple of a unit so large that no sum of multiples is ever rounded, and a small rest:
+    nothing cancels, however far the sums have grown. A frame with a NaN or an infinity gives NaN.
+    Beyond ``rows_per_task`` rows the earlier sum is joined by row number instead of looked back at.
     """
-    stored = stage(df)
-    blocked = stored.count() > rows_per_task
-    if blocked:
-        frame_rows = _blocks(stored, order, max(rows_per_task, rows), rows - 1)
-        window = Window.partitionBy("_block").orderBy("_row")
+    stored = _staged_in_order(df, order)
+    number = F.col(value).cast("double")
+    finite = number.isNotNull() & ~F.isnan(number) & (F.abs(number) != float("inf"))
+    n, largest = stored.agg(F.count(F.lit(1)), F.max(F.when(finite, F.abs(number)))).first()
+    exponent = frexp(largest or 1.0)[1] + n.bit_length() - MANTISSA_BITS
+    unit = F.lit(ldexp(1.0, max(exponent, -1000)))
+    whole = F.when(finite, F.rint(number / unit) * unit).otherwise(0.0)
+    parts = {
+        "_n": F.lit(1).cast("long"), "_whole": whole, "_rest": F.when(finite, number - whole).otherwise(0.0),
+        "_seen": number.isNotNull().cast("long"), "_odd": (number.isNotNull() & ~finite).cast("long"),
+    }
+    split = stored.withColumns(parts)
+    totals = split.groupBy("_slice").agg(*[F.sum(c).alias(c) for c in parts])
+    earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(  # one row per sort task
+        "_slice", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_before") for c in parts])
+    running = Window.partitionBy("_slice").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
+    upto = split.join(F.broadcast(offsets), "_slice").select(
+        *df.columns, *[(F.col(f"{c}_before") + F.sum(c).over(running)).alias(c) for c in parts])
+    sums = [c for c in parts if c != "_n"]
+    if n <= rows_per_task:
+        back = Window.orderBy("_n")
+        framed = upto.select("*", *[F.lag(c, rows).over(back).alias(f"{c}_then") for c in sums])
     else:
-        frame_rows = stored
-        window = Window.orderBy(*order)
-    trailing = window.rowsBetween(-(rows - 1), 0)
-    average = F.when(
-        F.count(value).over(trailing) == rows, F.avg(value).over(trailing)
-    ).alias(name)
-    if not blocked:
-        return frame_rows.select("*", average)
-    return frame_rows.select(*df.columns, "_home", average).filter("_home").drop("_home")
+        then = upto.select(
+            (F.col("_n") + rows).alias("_n"), *[F.col(c).alias(f"{c}_then") for c in sums])
+        framed = upto.join(then, "_n", "left")
+
+    def inside(part: str) -> Column:
+        return F.col(part) - F.coalesce(f"{part}_then", F.lit(0))
+
+    mean = F.when(inside("_odd") > 0, float("nan")).otherwise(
+        (inside("_whole") + inside("_rest")) / F.lit(rows))
+    return framed.select(*df.columns, F.when(inside("_seen") == rows, mean).alias(name))
 
 
 def exact_percentiles(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -154,3 +156,43 @@ def approximate_threshold(
     """A value whose rank is within ``rank_error`` of the wanted one."""
     accuracy = round(1 / rank_error)
     return df.agg(F.percentile_approx(column, fraction, accuracy).alias("threshold"))
+
+
+def quantile_sketches(df: DataFrame, column: str, by: list[str], rank_error: float = 0.01) -> DataFrame:
+    """``by, n, sketch``: a mergeable quantile sketch of every group, to be kept and merged later."""
+    # How the rank error of a KLL sketch follows from its size.
+    k = ceil((2.296 / rank_error) ** (1 / 0.9021))
+    value = F.col(column).cast("double")
+    return df.filter(value.isNotNull() & ~F.isnan(value)).groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n"), F.kll_sketch_agg_double(value, k).alias("sketch"))
+
+
+def quantiles_of_sketches(
+    sketches: DataFrame, fractions: list[float], by: list[str] | None = None
+) -> DataFrame:
+    """``by, n, fraction, value``: approximate quantiles of merged sketches, without the rows."""
+    by = by or []
+    merged = sketches.groupBy(*by).agg(
+        F.sum("n").alias("n"), F.kll_merge_agg_double("sketch").alias("sketch")).filter(F.col("n") > 0)
+    wanted = F.array(*map(F.lit, fractions))
+    pairs = F.arrays_zip(
+        wanted.alias("fraction"), F.kll_sketch_get_quantile_double("sketch", wanted).alias("value"))
+    return merged.select(*by, "n", F.inline(pairs))
+
+
+def rank_errors(df: DataFrame, column: str, quantiles: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Quantiles with ``error``: how far the exact ranks of the value are from the wanted one, in shares.
+
+    A value has all the ranks from its first row to its last one, and the nearest of them counts.
+    """
+    by = by or []
+    # a row per group and fraction
+    wanted = F.broadcast(quantiles.select(*by, "fraction", "value"))
+    rows = df.select(*by, F.col(column).cast("double").alias("_x")).dropna()
+    met = rows.join(wanted, by) if by else rows.crossJoin(wanted)
+    counted = met.groupBy(*by, "fraction", "value").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("_x") < F.col("value")).alias("_below"),
+        F.count_if(F.col("_x") <= F.col("value")).alias("_upto"))
+    return counted.select(*by, "n", "fraction", "value", F.greatest(
+        F.lit(0.0), F.col("_below") / F.col("n") - F.col("fraction"),
+        F.col("fraction") - F.col("_upto") / F.col("n")).alias("error"))

@@ -12,6 +12,7 @@ from tarmac.operators.ordered import exact_percentiles
 from tarmac.plans.common import (
     GAPPY_SQL, SHIPMENTS_SQL, Query, gappy_events, rounded, shipments, table,
 )
+from tarmac.session import stage
 from tarmac.sources.tables import table_size
 
 
@@ -127,6 +128,40 @@ def approx_threshold(spark, folder):
     return profile.approximate_threshold(table(spark, folder, "events"), "value", 0.95, 0.01)
 
 
+_FRACTIONS = [0.05, 0.25, 0.5, 0.75, 0.95, 0.99]
+
+
+def approx_threshold_check(spark, folder):
+    """The exact ranks of the approximate threshold lie within 1 % of the wanted one."""
+    events = table(spark, folder, "events")
+    found = approx_threshold(spark, folder).select(
+        F.lit(0.95).alias("fraction"), F.col("threshold").alias("value"))
+    errors = profile.rank_errors(events, "value", found)
+    return errors.select("fraction", "n", (F.col("error") <= 0.01).alias("within"))
+
+
+def _daily_sketches(spark, folder):
+    """A sketch per day and type of event, stored as a table of its own."""
+    events = table(spark, folder, "events").withColumn("day", F.to_date("ts"))
+    return events, stage(profile.quantile_sketches(events, "value", ["day", "event_type"]))
+
+
+def sketch_quantiles(spark, folder):
+    """Quantiles by type from the sketches of all days, and how exact they are."""
+    events, sketches = _daily_sketches(spark, folder)
+    found = stage(profile.quantiles_of_sketches(sketches, _FRACTIONS, ["event_type"]))
+    errors = profile.rank_errors(events, "value", found, ["event_type"])
+    return errors.select("event_type", "fraction", "n", (F.col("error") <= 0.01).alias("within"))
+
+
+def sketch_quantiles_of_days(spark, folder):
+    """The same sketches merged by day."""
+    events, sketches = _daily_sketches(spark, folder)
+    found = stage(profile.quantiles_of_sketches(sketches, _FRACTIONS, ["day"]))
+    errors = profile.rank_errors(events, "value", found, ["day"])
+    return errors.select("day", "fraction", "n", (F.col("error") <= 0.01).alias("within"))
+
+
 def corr_pair(spark, folder):
     lines = table(spark, folder, "lineitem")
     return rounded(profile.correlation(lines, "l_quantity", "l_extendedprice"), "correlation")
@@ -311,6 +346,14 @@ SELECT l_returnflag, round(quantile_cont(l_extendedprice, 0.01), 6) AS p01,
        round(quantile_cont(l_extendedprice, 0.99), 6) AS p99
 FROM lineitem GROUP BY 1"""),
     "approx_threshold": Query(approx_threshold),
+    "approx_threshold_check": Query(approx_threshold_check, """
+SELECT 0.95::DOUBLE AS fraction, count(value) AS n, TRUE AS within FROM events"""),
+    "sketch_quantiles": Query(sketch_quantiles, f"""
+SELECT event_type, f.fraction, count(value) AS n, TRUE AS within
+FROM events, (SELECT unnest({_FRACTIONS})::DOUBLE AS fraction) f WHERE value IS NOT NULL GROUP BY 1, 2"""),
+    "sketch_quantiles_of_days": Query(sketch_quantiles_of_days, f"""
+SELECT CAST(ts AS DATE) AS day, f.fraction, count(value) AS n, TRUE AS within
+FROM events, (SELECT unnest({_FRACTIONS})::DOUBLE AS fraction) f WHERE value IS NOT NULL GROUP BY 1, 2"""),
     "corr_pair": Query(corr_pair, """
 SELECT round(corr(l_quantity, l_extendedprice), 6) AS correlation FROM lineitem"""),
     "correlation_table": Query(correlation_table, _CORR_SQL),

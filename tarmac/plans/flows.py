@@ -19,6 +19,7 @@ from tarmac.plans.common import Query, rounded, table
 from tarmac.plans.series import _JOURNEYS_SQL, _journeys
 from tarmac.session import shared_folder, stage
 from tarmac.sources import tables
+from tarmac.sources.schemas import conform
 
 _ORDERS = T.StructType([
     T.StructField("o_orderkey", T.LongType()), T.StructField("o_custkey", T.LongType()),
@@ -45,6 +46,59 @@ def csv_to_parquet(spark, folder):
     return tables.read_parquet(spark, typed).select(_ORDERS.names)
 
 
+def csv_headers_differ(spark, folder):
+    """Orders from three sets of files whose headers have other columns in other orders."""
+    raw = _new_path(spark)
+    orders = table(spark, folder, "orders").withColumn("year", F.year("o_orderdate"))
+    third = F.col("o_orderkey") % 3
+    orders.filter(third == 0).select(*_ORDERS.names).write.csv(f"{raw}/a", header=True)
+    orders.filter(third == 1).select("o_orderpriority", *reversed(_ORDERS.names)).write.csv(
+        f"{raw}/b", header=True, compression="gzip")
+    orders.filter(third == 2).select(
+        "year", F.lit("x, \"y\"").alias("note"), *_ORDERS.names[:-1]).write.csv(f"{raw}/c", header=True)
+    rows = tables.read_csv(spark, [f"{raw}/{part}" for part in "abc"], _ORDERS)
+    return conform(rows, _ORDERS)
+
+
+def _checked_events(spark, folder):
+    """Events as text, some of them unreadable or incomplete, written with their checks."""
+    path = _new_path(spark)
+    events = table(spark, folder, "events").select(
+        F.col("event_id").cast("string").alias("event_id"),
+        F.when(F.col("value") < 6, F.concat(F.col("value").cast("string"), F.lit("x"))).otherwise(
+            F.col("value").cast("string")).alias("value"),
+        F.when(F.col("user_id") % 50 == 0, F.lit("?")).otherwise(F.col("user_id").cast("string")).alias("user_id"),
+        F.when(F.col("event_type") != "error", F.col("event_type")).alias("event_type"))
+    counts = tables.write_checked(events, _CHECKED, path, ["event_type"], ["event_type"])
+    return path, counts
+
+
+_CHECKED = T.StructType([
+    T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType()),
+    T.StructField("value", T.DoubleType()), T.StructField("event_type", T.StringType()),
+])
+
+
+def quarantined_rows(spark, folder):
+    """Raw values and reasons of the rows that fail a check."""
+    path, _ = _checked_events(spark, folder)
+    return tables.rejected_rows(spark, path).select(
+        F.get_json_object("raw", "$.event_id").cast("long").alias("event_id"),
+        F.get_json_object("raw", "$.user_id").alias("raw_user_id"),
+        F.array_join("reasons", "; ").alias("reasons"))
+
+
+def accepted_events(spark, folder):
+    path, _ = _checked_events(spark, folder)
+    return tables.accepted_rows(spark, path).select(*_CHECKED.names)
+
+
+def checked_counts(spark, folder):
+    """Rows and rejects per column, counted by the job that wrote the rows."""
+    _, counts = _checked_events(spark, folder)
+    return tables.local_rows(spark, sorted(counts.items()), "measure string, n long")
+
+
 def partition_pruned_check(spark, folder):
     """Row count and latest date of one year of a table kept by year."""
     path = _new_path(spark)
@@ -84,10 +138,33 @@ def feature_table(spark, folder):
         "hours_since_prev", "capped_delay", "elapsed_scaled", "prev_delay_scaled")
 
 
+_CHECKS_SQL = """
+  SELECT *, user_id % 50 = 0 AS bad_user, value < 6 AS bad_value, event_type = 'error' AS bad_type
+  FROM events"""
+
 QUERIES = {
     "csv_to_parquet": Query(csv_to_parquet, """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
        CAST(year(o_orderdate) AS INT) AS year FROM orders"""),
+    "csv_headers_differ": Query(csv_headers_differ, """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+       CAST(year(o_orderdate) AS INT) AS year FROM orders"""),
+    "quarantined_rows": Query(quarantined_rows, f"""
+SELECT event_id, CASE WHEN bad_user THEN '?' ELSE CAST(user_id AS VARCHAR) END AS raw_user_id,
+       concat_ws('; ', CASE WHEN bad_user THEN 'user_id: not bigint' END,
+         CASE WHEN bad_value THEN 'value: not double' END,
+         CASE WHEN bad_type THEN 'event_type: missing' END) AS reasons
+FROM ({_CHECKS_SQL}) WHERE bad_user OR bad_value OR bad_type"""),
+    "accepted_events": Query(accepted_events, f"""
+SELECT event_id, user_id, value, event_type FROM ({_CHECKS_SQL})
+WHERE NOT (bad_user OR bad_value OR bad_type)"""),
+    "checked_counts": Query(checked_counts, f"""
+WITH c AS ({_CHECKS_SQL})
+SELECT 'rows' AS measure, count(*) AS n FROM c
+UNION ALL SELECT 'rejected', count(*) FILTER (WHERE bad_user OR bad_value OR bad_type) FROM c
+UNION ALL SELECT 'rejected_event_id', 0 UNION ALL SELECT 'rejected_user_id', count_if(bad_user) FROM c
+UNION ALL SELECT 'rejected_value', count_if(bad_value) FROM c
+UNION ALL SELECT 'rejected_event_type', count_if(bad_type) FROM c"""),
     "partition_pruned_check": Query(partition_pruned_check, """
 SELECT count(*) AS n_rows, max(o_orderdate) AS latest FROM orders
 WHERE year(o_orderdate) = 1998"""),

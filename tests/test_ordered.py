@@ -1,5 +1,6 @@
 """The plans for large tables, forced by small budgets, against plain Python."""
 
+import math
 import random
 
 import numpy as np
@@ -77,6 +78,24 @@ def test_moving_average_for_any_budget(hot, budget, rows):
             assert average == pytest.approx(sum(values[i + 1 - rows:i + 1]) / rows)
 
 
+@pytest.mark.parametrize("budget", [5, 10**6])
+@pytest.mark.parametrize("rows", [3, 700])
+def test_moving_average_does_not_cancel(spark, budget, rows):
+    rng = random.Random(9)
+    values = [1e15 * rng.random() if i % 400 == 0 else rng.gauss(0, 1e-3) for i in range(1500)]
+    values[900], values[1200], values[5] = None, float("nan"), float("inf")
+    df = spark.createDataFrame(list(enumerate(values)), "id long, v double").repartition(6)
+    got = {r.id: r.moving_avg for r in moving_average(df, ["id"], "v", rows, rows_per_task=budget).collect()}
+    for i in range(1500):
+        frame = values[max(i + 1 - rows, 0):i + 1]
+        if len(frame) < rows or None in frame:
+            assert got[i] is None
+        elif not all(map(math.isfinite, frame)):
+            assert math.isnan(got[i])
+        else:
+            assert got[i] == pytest.approx(math.fsum(frame) / rows, rel=1e-12, abs=1e-12)
+
+
 @pytest.mark.parametrize("budget", [0, 10**6])
 def test_percentiles_per_group_for_any_budget(hot, budget):
     wanted = {"lo": 0.0, "p25": 0.25, "p95": 0.95, "hi": 1.0}
