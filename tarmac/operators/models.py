@@ -36,16 +36,39 @@ def linear(label: str, features: str = "features", **params) -> LinearRegression
     return LinearRegression(labelCol=label, featuresCol=features, **params)
 
 
-def lasso(label: str, strength: float, features: str = "features") -> LinearRegression:
-    return linear(label, features, elasticNetParam=1.0, regParam=strength)
+def lasso(label: str, strength: float, features: str = "features", **params) -> LinearRegression:
+    return linear(label, features, elasticNetParam=1.0, regParam=strength, **params)
 
 
 def tweedie(label: str, power: float = 0.0, features: str = "features", **params):
+    """A generalised linear model whose variance grows with a power of the mean. Its link is the power
+    1 - ``power`` of the mean unless ``linkPower`` names another; 0 is the logarithm."""
     return GeneralizedLinearRegression(
         family="tweedie", variancePower=power, labelCol=label, featuresCol=features, **params
     )
 
 
+def score_equations(
+    scored: DataFrame, label: str, columns: list[str], variance_power: float, link_power: float,
+    prediction: str = "prediction",
+) -> DataFrame:
+    """``column, score, terms`` of a fitted tweedie model, from one pass.
+
+    At the maximum of the likelihood the sum of (y - mu) x / (V(mu) g'(mu)) is 0 for the intercept and
+    for every column. ``score`` is that sum relative to the sum of its absolute terms.
+    """
+    y, mu = F.col(label), F.col(prediction)
+    slope = 1 / mu if link_power == 0 else link_power * F.pow(mu, F.lit(link_power - 1.0))
+    pull = (y - mu) / (F.pow(mu, F.lit(float(variance_power))) * slope)
+    terms = {"intercept": pull, **{c: pull * F.col(c) for c in columns}}
+    sums = scored.agg(
+        F.count(F.lit(1)).alias("_n"), *[F.sum(t).alias(f"_s{i}") for i, t in enumerate(terms.values())],
+        *[F.sum(F.abs(t)).alias(f"_a{i}") for i, t in enumerate(terms.values())])
+    rows = [F.struct(F.lit(c).alias("column"), F.try_divide(f"_s{i}", f"_a{i}").alias("score"),
+                     F.col("_n").alias("terms")) for i, c in enumerate(terms)]
+    return sums.select(F.inline(F.array(*rows)))
+
+
 def boosted_trees(
     label: str, features: str = "features", depth: int = TREE_DEPTH, trees: int = TREE_COUNT,
     rate: float = LEARNING_RATE, **params,

@@ -4,20 +4,24 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarmac.functions.holidays import is_us_holiday
 from tarmac.functions.numbers import cap, over_threshold
 from tarmac.functions.times import day_part
+from tarmac.operators import chain, clean
 from tarmac.operators.clean import split_at
 from tarmac.operators.features import standardise
 from tarmac.operators.joins import attach_scalars
+from tarmac.operators.ordered import first_per_key
 from tarmac.operators.profile import threshold
 from tarmac.operators.series import previous_trip_features
 from tarmac.plans.common import Query, rounded, table
+from tarmac.plans.network import _pagerank_ctes
 from tarmac.plans.series import _JOURNEYS_SQL, _journeys
-from tarmac.session import shared_folder, stage
+from tarmac.session import new_folder, shared_folder, stage
 from tarmac.sources import tables
 from tarmac.sources.schemas import conform
 
@@ -142,6 +146,130 @@ _CHECKS_SQL = """
   SELECT *, user_id % 50 = 0 AS bad_user, value < 6 AS bad_value, event_type = 'error' AS bad_type
   FROM events"""
 
+_TRIP_DDL = ("event_id long, fl_date string, dep_clock string, arr_clock string, tail long, origin string, "
+             "dest string, carrier string, delay double, elapsed double, sky string, codes string")
+
+
+def _raw_trips(spark, folder):
+    """Events as raw text records of trips: some cancelled, diverted or twice there."""
+    minute = F.floor(F.col("value")).cast("int")
+    dep = F.col("ts")
+    arr = F.timestamp_add("MINUTE", minute, dep)
+
+    def clock(ts):
+        return (F.hour(ts) * 100 + F.minute(ts)).cast("string")
+
+    trips = table(spark, folder, "events").select(
+        F.col("event_id").cast("string").alias("event_id"), F.date_format("ts", "yyyy-MM-dd").alias("fl_date"),
+        clock(dep).alias("dep_clock"), clock(arr).alias("arr_clock"),
+        F.col("user_id").cast("string").alias("tail"),
+        F.concat(F.lit("n"), F.col("user_id") % 7).alias("origin"),
+        F.concat(F.lit("n"), F.col("event_id") % 9).alias("dest"), F.col("event_type").alias("carrier"),
+        F.when(F.col("event_id") % 11 != 0, F.col("value").cast("string")).alias("delay"),
+        (F.col("value") * 2).cast("string").alias("elapsed"),
+        F.when(F.col("event_id") % 5 == 0, F.concat(F.lit("VV"), "props")).otherwise(F.col("props")).alias("sky"),
+        F.when(F.col("user_id") % 6 == 0, F.lit("ts gr")).otherwise(F.lit("RA")).alias("codes"),
+        F.when(F.col("event_type") == "error", F.lit("1.0")).otherwise(F.lit("0.0")).alias("cancelled"),
+        F.when(F.col("user_id") % 50 == 0, F.lit("1.00")).otherwise(F.lit("0")).alias("diverted"))
+    return trips.unionByName(trips.filter(F.col("event_id").cast("long") % 8 == 0))
+
+
+_SCALES = ["elapsed", "hours_since_prev", "prev_delay", "origin_rank", "dest_rank"]
+_LEVELS = ["carrier", "part_of_day", "origin", "dest"]
+_CHAIN_CUTOFF = "2024-01-20"
+
+
+def _chain():
+    """Every step from raw records to the vector, in order."""
+    return Pipeline(stages=[
+        chain.step(clean.keep_completed, cancelled="cancelled", diverted="diverted"),
+        chain.step(first_per_key, keys=["event_id"], order=["fl_date", "dep_clock"]),
+        chain.step(chain.typed, ddl=_TRIP_DDL),
+        chain.step(chain.weather_flags, sky="sky", codes="codes"),
+        chain.step(chain.trip_times, date="fl_date", departure="dep_clock", arrival="arr_clock"),
+        chain.step(previous_trip_features, entity="tail", start="dep", end="arr", elapsed="elapsed",
+                   delay="delay", order=["arr", "event_id"]),
+        chain.step(clean.complete_rows, columns=["event_id", "dep", "arr", "delay", "elapsed", "carrier"]),
+        chain.step(stage),
+        chain.learnt(chain.learn_cap, chain.apply_cap, column="delay", fraction=0.95),
+        chain.learnt(chain.learn_ranks, chain.apply_ranks, date="dep", origin="origin", dest="dest",
+                     rounds=15),
+        chain.learnt(chain.learn_scales, chain.apply_scales, columns=_SCALES),
+        chain.learnt(chain.learn_levels, chain.apply_levels, key=["event_id"], columns=_LEVELS,
+                     numbers=["obscured", "extreme", "holiday"], output="features"),
+    ])
+
+
+def feature_chain(spark, folder):
+    """The whole chain as one pipeline: fitted on the earlier days, saved, read back, and applied to all."""
+    raw = _raw_trips(spark, folder)
+    train, _ = split_at(raw, "fl_date", F.lit(_CHAIN_CUTOFF))
+    path = new_folder(spark, "chain")
+    _chain().fit(train).save(path)
+    done = PipelineModel.load(path).transform(raw)
+    names = [f"{c}_scaled" for c in _SCALES]
+    return rounded(
+        done.select("event_id", "part_of_day", "has_previous", "capped_delay", *names,
+                    F.regexp_extract(F.col("features").cast("string"), r"\[([\d,]*)\]", 1).alias("slots")),
+        "capped_delay", *names, digits=5)
+
+
+_RAW_TRIPS_SQL = """
+  SELECT event_id, CAST(ts AS DATE) AS fl_date, user_id AS tail, 'n' || user_id % 7 AS origin,
+         'n' || event_id % 9 AS dest, event_type AS carrier,
+         CASE WHEN event_id % 11 <> 0 THEN value END AS delay, value * 2 AS elapsed,
+         CAST(event_id % 5 = 0 AS INT) AS obscured, CAST(user_id % 6 = 0 AS INT) AS extreme,
+         date_trunc('minute', ts) AS dep,
+         CAST(ts AS DATE) + INTERVAL 1 MINUTE * (hour(a) * 60 + minute(a)) AS arr0
+  FROM (SELECT *, ts + INTERVAL 1 MINUTE * CAST(floor(value) AS BIGINT) AS a FROM events)
+  WHERE event_type <> 'error' AND user_id % 50 <> 0"""
+_CHAIN_SQL = f"""
+WITH t AS (SELECT *, CASE WHEN arr0 < dep THEN arr0 + INTERVAL 1 DAY ELSE arr0 END AS arr
+  FROM ({_RAW_TRIPS_SQL})),
+p AS MATERIALIZED (SELECT *, lag(arr) OVER w AS pa, lag(elapsed) OVER w AS pe,
+    coalesce(lag(delay) OVER w, 0.0) AS prev_delay, lag(event_id) OVER w IS NOT NULL AS has_previous,
+    CASE WHEN hour(dep) < 6 THEN 'Night' WHEN hour(dep) < 12 THEN 'Morning'
+      WHEN hour(dep) < 18 THEN 'Afternoon' ELSE 'Evening' END AS part_of_day,
+    CAST(fl_date IN (DATE '2024-01-01', DATE '2024-01-15') AS INT) AS holiday
+  FROM t {{where}} WINDOW w AS (PARTITION BY tail ORDER BY arr, event_id)),
+q AS MATERIALIZED (SELECT *, coalesce(CASE WHEN pe >= 120 THEN (epoch(dep) - epoch(pa)) / 3600.0::DOUBLE END, 0.0)
+    AS hours_since_prev FROM p WHERE delay IS NOT NULL)"""
+_TRAIN_Q = _CHAIN_SQL.format(where=f"WHERE fl_date <= DATE '{_CHAIN_CUTOFF}'")
+_ALL_Q = _CHAIN_SQL.format(where="")
+
+
+def _chain_sql():
+    """The training rows and all rows go through the same steps, each seeing only its own rows."""
+    ranks = _pagerank_ctes(
+        "SELECT CAST(year(dep) AS INT) AS year, origin AS src, dest AS dst, count(*) AS weight FROM tq GROUP BY ALL",
+        15, "count", "year")
+    levels = " UNION ALL ".join(
+        f"SELECT {i} AS place, {c} AS level FROM tq" for i, c in enumerate(_LEVELS))
+    slots = " UNION ALL ".join(
+        f"SELECT event_id, {i} AS place, {c} AS level FROM aq" for i, c in enumerate(_LEVELS))
+    scaled = ", ".join(
+        f"round((a.{c} - m_{c}) / d_{c}, 5) AS {c}_scaled" for c in _SCALES)
+    scales = ", ".join(f"avg({c}) AS m_{c}, stddev_samp({c}) AS d_{c}" for c in _SCALES)
+
+    def both(name):
+        return f"""SELECT {name}.*, coalesce(o.rank, 0.0) AS origin_rank, coalesce(d.rank, 0.0) AS dest_rank
+  FROM {name} LEFT JOIN mean_rank o ON o.id = origin LEFT JOIN mean_rank d ON d.id = dest"""
+
+    return f"""
+WITH tq AS MATERIALIZED ({_TRAIN_Q} SELECT * FROM q), aq AS MATERIALIZED ({_ALL_Q} SELECT * FROM q),
+{ranks},
+mean_rank AS MATERIALIZED (SELECT id, avg(rank) AS rank FROM ranks GROUP BY 1),
+tr AS MATERIALIZED ({both("tq")}), ar AS MATERIALIZED ({both("aq")}),
+f AS (SELECT {scales}, quantile_cont(delay, 0.95) AS cap FROM tr),
+l AS (SELECT place, level, row_number() OVER (ORDER BY place, count(*) DESC, level) + 2 AS slot
+  FROM ({levels}) GROUP BY 1, 2),
+s AS (SELECT event_id, string_agg(slot, ',' ORDER BY slot) AS slots FROM ({slots}) JOIN l USING (place, level)
+  GROUP BY 1)
+SELECT event_id, part_of_day, has_previous, round(least(delay, cap), 5) AS capped_delay, {scaled},
+       concat_ws(',', '0,1,2', slots) AS slots
+FROM ar a LEFT JOIN s USING (event_id), f"""
+
+
 QUERIES = {
     "csv_to_parquet": Query(csv_to_parquet, """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
@@ -169,6 +297,7 @@ UNION ALL SELECT 'rejected_event_type', count_if(bad_type) FROM c"""),
 SELECT count(*) AS n_rows, max(o_orderdate) AS latest FROM orders
 WHERE year(o_orderdate) = 1998"""),
     "text_round_trip": Query(text_round_trip, "SELECT c_custkey, c_name FROM customer"),
+    "feature_chain": Query(feature_chain, _chain_sql()),
     "feature_table": Query(feature_table, f"""
 WITH j AS ({_JOURNEYS_SQL}),
 p AS (SELECT *, lag(arr) OVER w AS pa, lag(elapsed) OVER w AS pe, lag(delay) OVER w AS pd,

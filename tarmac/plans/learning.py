@@ -219,6 +219,27 @@ def glm_tweedie(spark, folder):
     return rounded(scores, *_METRICS, digits=3)
 
 
+def _tweedie_scores(spark, folder, link):
+    train, _ = _one_feature(spark, folder)
+    model = models.tweedie(_LABEL, 1.5, linkPower=link, maxIter=100, tol=1e-10).fit(train)
+    scores = models.score_equations(model.transform(train), _LABEL, ["l_quantity"], 1.5, link)
+    return scores.select("column", (F.round("score", 6) + 0.0).alias("score"), "terms")
+
+
+def glm_tweedie_power(spark, folder):
+    """Score equations of a model with variance power 1.5 and its own link, the power -0.5."""
+    return _tweedie_scores(spark, folder, -0.5)
+
+
+def glm_tweedie_log(spark, folder):
+    """The same with the logarithm as link, as the compound Poisson model has it."""
+    return _tweedie_scores(spark, folder, 0.0)
+
+
+_SCORES_SQL = f"""
+SELECT unnest(['intercept', 'l_quantity']) AS "column", 0.0::DOUBLE AS score, count(*) AS terms
+FROM lineitem WHERE l_shipdate <= TIMESTAMP '{_CUTOFF}'"""
+
 _FIT_SQL = f"""
 f AS (SELECT regr_slope({_LABEL}, l_quantity) AS a, regr_intercept({_LABEL}, l_quantity) AS c
       FROM lineitem WHERE l_shipdate <= TIMESTAMP '{_CUTOFF}')"""
@@ -240,6 +261,38 @@ def lasso_fit(spark, folder):
     return models.coefficient_table(names, model.coefficients, train)
 
 
+def _named_pulls(train, model, strength):
+    """Whether each coefficient meets the conditions of the best one, by feature."""
+    names = features.slot_names(train, "features")
+    pulls = moments.residual_pulls(model.transform(train), "features", len(names), _LABEL)
+    about = train.sparkSession.createDataFrame(
+        [(i, n, float(c)) for i, (n, c) in enumerate(zip(names, model.coefficients))],
+        "position int, feature string, coefficient double")
+    off = F.when(F.col("coefficient") != 0, F.abs(F.col("pull") - strength * F.signum("coefficient"))).otherwise(
+        F.greatest(F.lit(0.0), F.abs("pull") - strength))
+    return about.join(pulls, "position").select("feature", "n", (off < 1e-2).alias("meets"))
+
+
+def lasso_check(spark, folder):
+    """The conditions that the coefficients of ``lasso_fit`` must meet, feature by feature."""
+    train, _ = _encoded(spark, folder)
+    return _named_pulls(train, models.lasso(_LABEL, 10.0, maxIter=500, tol=1e-9).fit(train), 10.0)
+
+
+def coef_check(spark, folder):
+    """The same for least squares, the model of ``coef_topk``: no column moves with the residual."""
+    train, _ = _encoded(spark, folder)
+    return _named_pulls(train, models.linear(_LABEL, solver="normal").fit(train), 0.0)
+
+
+_PULLS_SQL = f"""
+WITH t AS (SELECT * FROM lineitem WHERE l_shipdate <= TIMESTAMP '{_CUTOFF}'),
+f AS (SELECT DISTINCT 'l_returnflag_onehot_' || l_returnflag AS feature FROM t
+  UNION SELECT 'l_linestatus_onehot_' || l_linestatus FROM t
+  UNION SELECT unnest(['scaled_0', 'scaled_1', 'scaled_2']))
+SELECT feature, (SELECT count(*) FROM t) AS n, TRUE AS meets FROM f"""
+
+
 def coef_topk(spark, folder):
     train, _ = _encoded(spark, folder)
     names = features.slot_names(train, "features")
@@ -531,6 +584,10 @@ SELECT round(avg(abs({_LABEL} - a * l_quantity - c)), 4) AS mae,
 FROM lineitem, f WHERE l_shipdate <= TIMESTAMP '{_CUTOFF}'"""),
     "linear_holdout": Query(linear_holdout, _HOLDOUT_SQL),
     "glm_tweedie": Query(glm_tweedie, _HOLDOUT_SQL),
+    "glm_tweedie_power": Query(glm_tweedie_power, _SCORES_SQL),
+    "glm_tweedie_log": Query(glm_tweedie_log, _SCORES_SQL),
+    "lasso_check": Query(lasso_check, _PULLS_SQL),
+    "coef_check": Query(coef_check, _PULLS_SQL),
     "linear_cv": Query(linear_cv, f"{_ROLLING_SQL} SELECT fold, metric, best FROM o"),
     "linear_cv_blocked": Query(
         linear_cv_blocked, f"{_BLOCKED_SQL} SELECT fold, metric, best FROM o"),
