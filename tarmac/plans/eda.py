@@ -137,7 +137,7 @@ def approx_threshold_check(spark, folder):
     found = approx_threshold(spark, folder).select(
         F.lit(0.95).alias("fraction"), F.col("threshold").alias("value"))
     errors = profile.rank_errors(events, "value", found)
-    return errors.select("fraction", "n", (F.col("error") <= 0.01).alias("within"))
+    return errors.select("fraction", "n", (F.round("error", 9) <= 0.01).alias("within"))
 
 
 def _daily_sketches(spark, folder):
@@ -151,7 +151,7 @@ def sketch_quantiles(spark, folder):
     events, sketches = _daily_sketches(spark, folder)
     found = stage(profile.quantiles_of_sketches(sketches, _FRACTIONS, ["event_type"]))
     errors = profile.rank_errors(events, "value", found, ["event_type"])
-    return errors.select("event_type", "fraction", "n", (F.col("error") <= 0.01).alias("within"))
+    return errors.select("event_type", "fraction", "n", (F.round("error", 9) <= 0.01).alias("within"))
 
 
 def sketch_quantiles_of_days(spark, folder):
@@ -159,7 +159,7 @@ def sketch_quantiles_of_days(spark, folder):
     events, sketches = _daily_sketches(spark, folder)
     found = stage(profile.quantiles_of_sketches(sketches, _FRACTIONS, ["day"]))
     errors = profile.rank_errors(events, "value", found, ["day"])
-    return errors.select("day", "fraction", "n", (F.col("error") <= 0.01).alias("within"))
+    return errors.select("day", "fraction", "n", (F.round("error", 9) <= 0.01).alias("within"))
 
 
 def corr_pair(spark, folder):
