@@ -362,6 +362,29 @@ def test_only_maximal_conversations_stay(spark):
     assert chat.format_chats(chats.limit(0)).count() == 0
 
 
+def test_texts_of_chats_move_late(spark, monkeypatch):
+    """Where nothing is broadcast the rows are the same, and what is stored holds no text."""
+    rows = [(c, t, "user" if t % 2 == 0 else None, None if (c + t) % 5 == 0 else f"{t} of {c % 3}")
+            for c in range(12) for t in range(2 + c % 4)] * 3
+    rows += [(90, 0, None, "user"), (91, 0, "system", None), (92, 0, "system", ""), (93, None, None, None)]
+    chats = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    stored = []
+    monkeypatch.setattr(chat, "stage", lambda df, keep=chat.stage: stored.append(df.columns) or keep(df))
+    near = sorted(map(tuple, chat.format_chats(chats).collect()))
+    monkeypatch.setattr(chat, "small_side", lambda df: df)
+    assert sorted(map(tuple, chat.format_chats(chats).collect())) == near
+    assert {90, 91, 92, 93} <= {r[0] for r in near} and len(stored) == 6
+    assert not any("text" in columns for columns in stored)
+    turns = {}
+    for c, t, role, text in set(rows):
+        turns.setdefault(c, []).append((t is None, t or 0, role, text))
+    whole = {c: tuple(x[2:] for x in sorted(v, key=lambda x: x[:2])) for c, v in turns.items()}
+    maximal = {w for w in whole.values() if not any(o != w and o[:len(w)] == w for o in whole.values())}
+    want = sorted((min(c for c in whole if whole[c] == w), 0, len(w), sum(o == w for o in whole.values()), "".join(
+        f"<|im_start|>{r or ''}\n{x or ''}<|im_end|>\n" for r, x in w)) for w in maximal)
+    assert near == want
+
+
 # --- pages and archives --------------------------------------------------------------------------
 
 def test_articles_without_furniture_and_templates(spark):
