@@ -16,6 +16,7 @@ from math import frexp, ldexp
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tarmac.operators.joins import attach_scalars, broadcast_if_small, same_keys
 from tarmac.session import cut, stage
@@ -255,15 +256,30 @@ def exact_percentiles(
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """One row per key, the first in the order.
+    """One row per key, the first in the order; of equal ones that with the least other columns.
 
     An aggregate, not a window: every task keeps only its own best row of a key before the
-    shuffle, so a key with very many rows costs no more than any other.
+    shuffle, so a key with very many rows costs no more than any other. The order columns lead the
+    row that is compared, so nothing is carried twice. Where a column has no order of its own (maps),
+    the row is carried beside the order columns and equal ones go to either.
     """
     rest = [column for column in df.columns if column not in keys]
     if not rest:
         return df.distinct()
-    best = F.min_by(F.struct(*rest), F.struct(*order)).alias("_best")
-    return df.groupBy(*keys).agg(best).select(
+    lead = [column for column in dict.fromkeys(order) if column not in keys]
+    if any(_unordered(field.dataType) for field in df.schema if field.name in rest):
+        best = F.min_by(F.struct(*rest), F.struct(*lead)) if lead else F.first(F.struct(*rest))
+    else:
+        best = F.min(F.struct(*lead, *[column for column in rest if column not in lead]))
+    return df.groupBy(*keys).agg(best.alias("_best")).select(
         *[F.col(c) if c in keys else F.col(f"_best.{c}").alias(c) for c in df.columns]
     )
+
+
+def _unordered(kind: T.DataType) -> bool:
+    """Whether values of a type cannot be compared."""
+    if isinstance(kind, T.StructType):
+        return any(_unordered(field.dataType) for field in kind)
+    if isinstance(kind, T.ArrayType):
+        return _unordered(kind.elementType)
+    return isinstance(kind, (T.MapType, T.VariantType))

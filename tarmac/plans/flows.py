@@ -122,6 +122,16 @@ def text_round_trip(spark, folder):
         parts[0].cast("long").alias("c_custkey"), parts[1].alias("c_name"))
 
 
+def local_names(spark, folder):
+    """Orders counted under names from a few rows of the program; a status without one keeps null."""
+    names = tables.local_rows(
+        spark, [("F", "cancelled", 1.0), ("P", "diverted", 0.5)],
+        T.StructType().add("code", "string").add("name", "string").add("weight", "double"))
+    orders = table(spark, folder, "orders")
+    return orders.join(F.broadcast(names), F.col("o_orderstatus") == F.col("code"), "left").groupBy("name").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("weight").alias("weight"))
+
+
 def feature_table(spark, folder):
     """Journeys with every derived column; caps and scales are fitted on the training days."""
     journeys = _journeys(spark, folder)
@@ -297,6 +307,10 @@ UNION ALL SELECT 'rejected_event_type', count_if(bad_type) FROM c"""),
 SELECT count(*) AS n_rows, max(o_orderdate) AS latest FROM orders
 WHERE year(o_orderdate) = 1998"""),
     "text_round_trip": Query(text_round_trip, "SELECT c_custkey, c_name FROM customer"),
+    "local_names": Query(local_names, """
+SELECT name, count(*) AS n, sum(weight)::DOUBLE AS weight
+FROM orders LEFT JOIN (VALUES ('F', 'cancelled', 1.0), ('P', 'diverted', 0.5)) AS t(code, name, weight)
+  ON o_orderstatus = code GROUP BY 1"""),
     "feature_chain": Query(feature_chain, _chain_sql()),
     "feature_table": Query(feature_table, f"""
 WITH j AS ({_JOURNEYS_SQL}),

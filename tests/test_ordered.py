@@ -129,6 +129,21 @@ def test_first_per_key_of_whole_rows(spark):
     assert first_per_key(df, ["x", "y"], []).count() == 2
 
 
+def test_first_per_key_carries_a_column_once(spark):
+    rows = [("a", 2, 1, "x"), ("a", 1, 5, "z"), ("a", 1, 5, "y"), ("b", None, 0, "n"), ("b", 0, 0, "m"), (None, 1, 1, "q")]
+    df = spark.createDataFrame(rows, "k string, o int, id int, t string")
+    first = first_per_key(df, ["k"], ["o", "k", "id"])
+    assert sorted(map(tuple, first.collect()), key=str) == sorted(
+        [("a", 1, 5, "y"), ("b", None, 0, "n"), (None, 1, 1, "q")], key=str)
+    plan = first._jdf.queryExecution().optimizedPlan().toString()
+    carried = plan[plan.index("min(struct("):].split("))")[0]
+    assert carried.count("id,") == 1 and "min_by" not in plan
+    maps = df.selectExpr("k", "o", "id", "t", "array(map(t, id)) AS m")
+    assert {r.k: (r.o, r.id) for r in first_per_key(maps, ["k"], ["o", "id"]).collect()} == {
+        "a": (1, 5), "b": (None, 0), None: (1, 1)}
+    assert first_per_key(maps, ["k"], ["k"]).count() == 3
+
+
 def test_empty_tables_stay_empty(hot):
     empty = hot.filter("false")
     assert number_rows(empty, ["id"]).count() == 0
