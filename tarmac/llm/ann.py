@@ -29,17 +29,26 @@ def _lines(dim: int, seed: int) -> np.ndarray:
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
-    """Rows of length 1. Dividing by the largest part first keeps squares in range."""
-    scaled = vectors / np.abs(vectors).max(axis=1, keepdims=True)
+    """Rows of length 1."""
+    scaled = _near_one(vectors)
     return scaled / np.sqrt((scaled * scaled).sum(axis=1, keepdims=True))
 
 
 def cosine(query: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-    """Exact cosines on the original vectors, summed alike whatever stands beside a vector."""
+    """Exact cosines on the original vectors, summed alike whatever stands beside a vector.
+
+    Each vector is first brought near 1 by a power of two, which rounds nothing that counts, so that
+    no square leaves the range of a double.
+    """
+    query, vectors = _near_one(query[None, :])[0], _near_one(vectors)
     return ((vectors * query).sum(axis=1)
             / (np.sqrt((query * query).sum()) * np.sqrt((vectors * vectors).sum(axis=1))))
 
 
+def _near_one(vectors: np.ndarray) -> np.ndarray:
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=1, initial=0.0, keepdims=True))[1])
+
+
 def search_block(query_ids, queries, ids, vectors, k: int, seed: int, times=None):
     """(query id, vector id, cosine) of the k nearest found for each query in one block.
 
@@ -121,11 +130,12 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_
     each block meet in a last ranking. Ties go to the smaller id. Null, empty and zero vectors and
     those with a null or non-finite component, and null ids, take no part; vectors of another length
     than the query's are no candidates. Repeated rows are one row with a count until they are found,
-    then given as often as they are there; repeated queries are answered once. Fewer candidates than k are all given; empty tables give no rows.
+    then given as often as they are there; repeated queries are answered once, and of several
+    vectors under one query id the least, compared part by part, is asked. Fewer candidates than k are all given; empty tables give no rows.
     """
     base = cut(usable(vectors, key, vector).groupBy("id", "v", "dim").agg(
         F.count(F.lit(1)).alias("times")))
-    asked = cut(usable(queries, key, vector).dropDuplicates(["id"]))
+    asked = cut(usable(queries, key, vector).groupBy("id").agg(F.min("v").alias("v")).withColumn("dim", F.size("v")))
     v_blocks = max(1, -(-base.count() // BLOCK))
     q_blocks = max(1, -(-asked.count() // QUERIES))
 

@@ -64,8 +64,8 @@ def append_columns(df: DataFrame, inputs: list[str], schema: str, make) -> DataF
 
     ``make`` takes an iterator over batches, each a tuple of lists, and yields for each batch a list
     of rows in the form of tuples. Batches pass as Arrow, in slices; other columns are not converted. Unlike
-    a function in a projection, this step accepts any plan below it. A new column must not have the
-    name of one that is there.
+    a function in a projection, this step accepts any plan below it. A new column takes the place of
+    one that has its name, which is given up, also where it was an input.
     """
     import pyarrow as pa
     from pyspark.sql import types as T
@@ -73,7 +73,9 @@ def append_columns(df: DataFrame, inputs: list[str], schema: str, make) -> DataF
 
     added = T.StructType.fromDDL(schema)
     kinds = [to_arrow_type(field.dataType) for field in added]
-    names = df.columns + added.names
+    taken = {name.lower() for name in added.names}
+    fields = [field for field in df.schema.fields if field.name.lower() not in taken]
+    kept = [field.name for field in fields]
 
     def parts(batch):
         rows = max(1, int(batch.num_rows * SLICE_BYTES / max(batch.nbytes, 1)))
@@ -91,9 +93,18 @@ def append_columns(df: DataFrame, inputs: list[str], schema: str, make) -> DataF
             batch = held.pop(0)
             columns = list(zip(*rows)) if rows else [[] for _ in kinds]
             new = [pa.array(values, kind) for values, kind in zip(columns, kinds)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=names)
+            held_columns = [batch.column(batch.schema.get_field_index(c)) for c in kept]
+            yield pa.RecordBatch.from_arrays([*held_columns, *new], names=kept + added.names)
 
-    return df.mapInArrow(run, T.StructType(df.schema.fields + added.fields))
+    return df.mapInArrow(run, T.StructType(fields + added.fields))
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with so many underscores behind it that no column of ``df`` has it."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def folder_on(folder: str):

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import append_columns, folder_on
+from tarmac.llm.common import append_columns, folder_on, unused
 from tarmac.session import cut, shared_folder
 
 #: Longest n-gram, ranks in a profile, and ranks of a text that are compared.
@@ -233,10 +233,11 @@ def keep_identified(docs: DataFrame, key: str = "doc_id", text: str = "text",
     far away it is. Where none was learned (no row has a text and a language), nothing can be told,
     and every text with a letter is kept as well.
     """
-    out = ("_language_pred", "_language_score")
+    out = (unused(docs, "_language_pred"), unused(docs, "_language_score"))
     profiles = train(docs.filter(~held_out(F.col(key))), text, lang)
     if profiles.isEmpty():
-        told = append_columns(docs, [text], "_letter boolean", lambda batches: (
+        letter = unused(docs, "_letter")
+        told = append_columns(docs, [text], f"{letter} boolean", lambda batches: (
             [(len(_top(t)) > 0,) for t in texts] for (texts,) in batches))
-        return told.filter("_letter").select(*docs.columns)
+        return told.filter(F.col(letter)).select(*docs.columns)
     return identify(docs, profiles, text, out).filter(F.col(out[0]) != UNKNOWN).select(*docs.columns)

@@ -344,6 +344,44 @@ def test_repeated_vectors_are_searched_once(spark):
     assert sorted((r.query_id, r.vec_id, r.score) for r in got) == sorted(zip(*(a.tolist() for a in counted)))
 
 
+def test_cosines_of_huge_and_tiny_vectors(spark):
+    vectors = [[1e200, 1e200], [1.0, 1.0], [1e-200, 0.0], [5e-324, 0.0], [-1e308, 1e308]]
+    table = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>")
+    scores = {(r.query_id, r.vec_id): r.score for r in ann.nearest(table, table).collect()}
+    assert len(scores) == 20
+    assert scores[0, 1] == pytest.approx(1.0) and scores[2, 3] == 1.0 and scores[0, 4] == 0.0
+    assert scores[1, 2] == pytest.approx(0.5 ** 0.5) == scores[1, 3]
+
+
+def test_a_query_id_with_several_vectors_asks_the_least(spark):
+    table = spark.createDataFrame(
+        [(1, [0.0, 1.0]), (1, [1.0, 0.0]), (2, [0.0, 2.0]), (3, [2.0, 0.1])], "vec_id long, embedding array<double>")
+    for order in (table, table.orderBy(F.col("embedding").desc())):
+        got = ann.nearest(table, order.filter("vec_id = 1"), k=1).collect()
+        assert [(r.query_id, r.rank, r.vec_id, r.score) for r in got] == [(1, 1, 2, 1.0)]
+
+
+def test_results_take_the_place_of_columns_with_their_names(spark):
+    docs = spark.createDataFrame(
+        [(1, "the cat", 9, "p", "s", True), (2, None, 9, "p", "s", True)],
+        "doc_id long, text string, n_tokens int, Pieces string, _segment_key string, _letter boolean")
+    plain = docs.select("doc_id", "text")
+    counted = tokencount.count_tokens(docs)
+    assert sorted(counted.columns) == sorted([*docs.columns, *set(tokencount.count_tokens(plain).columns) - set(docs.columns)])
+    assert [r.n_tokens for r in counted.orderBy("doc_id").collect()] == [
+        r.n_tokens for r in tokencount.count_tokens(plain).orderBy("doc_id").collect()]
+    cut = segment.segmentations(docs)
+    assert cut.columns == ["doc_id", "text", "n_tokens", "_segment_key", "_letter", "pieces"]
+    assert [r.pieces for r in cut.orderBy("doc_id").collect()] == [
+        r.pieces for r in segment.segmentations(plain).orderBy("doc_id").collect()]
+    assert {r._segment_key for r in cut.collect()} == {"s"}
+    nothing = docs.withColumns({"lang": F.lit(None).cast("string"), "_letter": F.lit("mine")})
+    learned = nothing.withColumns({"lang": F.lit("en"), "_language_pred": F.lit("mine"), "doc_id": F.col("doc_id") + 1})
+    assert [tuple(r) for r in language.keep_identified(nothing).collect()] == [
+        tuple(r) for r in nothing.filter("doc_id = 1").collect()]
+    assert {r._language_pred for r in language.keep_identified(learned).collect()} == {"mine"}
+
+
 # --- chats ---------------------------------------------------------------------------------------
 
 def test_only_maximal_conversations_stay(spark):
