@@ -58,3 +58,20 @@ def test_numbers_with_many_values_are_merged_by_bins(spark):
                       F.avg("x")).first()
     assert (binned[0], binned[1], binned[2]) == (32, 32, 1)
     assert binned[3] == pytest.approx(rows.agg(F.avg("x")).first()[0])
+
+
+def test_grid_fits_settings_that_differ_in_trees_once(spark, monkeypatch):
+    rows = _vectors(_rows(spark, 200), "x", "z").withColumn("weight", F.lit(2.0))
+    grid = [{"depth": d, "trees": t} for d in (1, 2) for t in (2, 4)]
+
+    def build(**setting):
+        return models.boosted_trees("y", seed=1, weightCol="weight", **setting)
+
+    wanted = [models.rmse("y").evaluate(build(**s).fit(rows).transform(rows)) for s in grid]
+    fits, fit = [], models.GBTRegressor._fit
+    monkeypatch.setattr(
+        models.GBTRegressor, "_fit", lambda self, df: fits.append(self.getMaxIter()) or fit(self, df))
+    scores = models.grid_scores(rows, rows, grid, build, models.rmse("y"))
+    found = {r.setting: r.metric for r in scores.collect()}
+    assert [found[str(s)] for s in grid] == pytest.approx(wanted)
+    assert fits == [4, 4]
