@@ -188,6 +188,32 @@ def _send(edges: DataFrame, senders: DataFrame, by: tuple[str, ...], small: bool
     )
 
 
+def _all_text(df: DataFrame, *columns: str) -> bool:
+    return all(df.schema[c].dataType.simpleString() == "string" for c in columns)
+
+
+def _lists(
+    edges: DataFrame, degrees: DataFrame, per_list: int, by: tuple[str, ...], hashed: bool
+) -> DataFrame:
+    """The edges as lists ``(*by, src, _slice, to, weights)``, stored by source and slice."""
+    ends = [(F.xxhash64(c) if hashed else F.col(c)).alias(c) for c in ("src", "dst")]
+    rows = _sliced(edges, degrees, per_list, by).select(*by, *ends, "_slice", "weight")
+    lists = rows.groupBy(*by, "src", "_slice").agg(
+        F.collect_list(F.struct("dst", "weight")).alias("_ends"))
+    return cut_by(
+        lists.select(*by, "src", "_slice", F.col("_ends.dst").alias("to"),
+                     F.col("_ends.weight").alias("weights")),
+        *by, "src", "_slice")
+
+
+def _send_lists(lists: DataFrame, senders: DataFrame, by: tuple[str, ...], _) -> DataFrame:
+    """What ``_send`` gives, from lists of edges."""
+    slices = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("_slice")
+    met = lists.join(senders.select(*by, "src", "_unit", slices), [*by, "src", "_slice"])
+    return met.select(*by, "_unit", "weights", F.posexplode("to").alias("_at", "id")).select(
+        *by, "id", (F.col("_unit") * F.get("weights", F.col("_at"))).alias("_in"))
+
+
 def pagerank(
     edges: DataFrame, vertices: DataFrame | None = None, *, by: tuple[str, ...] = (),
     alpha: float = 0.15, iterations: int = 10, scale: str = "probability",
@@ -201,28 +227,34 @@ def pagerank(
     brings the sum back to the number of vertices. ``tolerance`` stops early once no graph's ranks
     moved by more than that in total. Edges with a null end are left out.
 
-    Edges are merged, laid out by source once and kept. The edges of a source with more than
-    ``edges_per_slice`` of them are spread over several slices, and its rank is sent to each. Up to
-    ``broadcast_rows`` vertices (counted) the ranks are broadcast to the edges instead. The state is
-    checkpointed in every iteration, so that a lost executor costs one iteration at most.
+    Edges are merged, laid out by source once and kept, as lists of destinations and weights, so that
+    an iteration joins a row per source and not per edge. A source with more than ``edges_per_slice``
+    edges has several lists, and its rank is sent to each. Up to ``broadcast_rows`` vertices (counted)
+    the ranks are broadcast to the edges instead. Beyond, names are stood for by hashes, if these are
+    counted to be as many. The state is checkpointed in every iteration, so that a lost executor
+    costs one iteration at most.
     """
     by = tuple(by)
-    merged = cut(weighted_edges(complete_rows(edges, [*by, "src", "dst"]), by))
-    degrees = out_degrees(merged, by)
-    known = vertices_of(merged, by)
+    merged = stage(weighted_edges(complete_rows(edges, [*by, "src", "dst"]), by))
+    degrees = cut(out_degrees(merged, by))
+    known = degrees.select(*by, "id").unionByName(merged.select(*by, F.col("dst").alias("id")))
     if vertices is not None:
-        known = known.unionByName(vertices.select(*by, "id")).distinct()
+        known = known.unionByName(vertices.select(*by, "id"))
+    per_list = min(edges_per_slice, LIST_SIZE)
     start = F.lit(1.0)
     state = cut(
-        known.join(degrees, [*by, "id"], "left").select(
+        known.distinct().join(degrees, [*by, "id"], "left").select(
             *by, "id", start.alias("rank"), F.lit(0.0).alias("moved"),
             F.coalesce("out_weight", F.lit(0)).alias("out_weight"),
-            F.ceil(F.coalesce("out_degree", F.lit(0)) / F.lit(edges_per_slice)).alias("parts"),
+            F.ceil(F.coalesce("out_degree", F.lit(0)) / F.lit(per_list)).alias("parts"),
         )
     )
     n_vertices = state.count()
     small = n_vertices <= broadcast_rows
-    laid_out = merged if small else _lay_out(merged, degrees, edges_per_slice, by)
+    hashed = not small and _all_text(merged, "src", "dst") and _all_text(state, "id") and (
+        state.select(*by, F.xxhash64("id")).distinct().count() == n_vertices)
+    state = state.withColumn("_key", F.xxhash64("id") if hashed else F.col("id"))
+    laid_out = merged if small else _lists(merged, degrees, per_list, by, hashed)
     if by:
         sizes = cut(state.groupBy(*by).agg(F.count(F.lit(1)).alias("n_vertices")))
         few_graphs = sizes.count() <= broadcast_rows
@@ -240,22 +272,16 @@ def pagerank(
     if scale == "probability":
         state = with_size(state).withColumn("rank", 1.0 / F.col("n_vertices")).drop("n_vertices")
     dangling = F.sum(F.when(F.col("out_weight") == 0, F.col("rank")).otherwise(0.0))
-    kept = [*by, "id", "out_weight", "parts"]
+    kept = [*by, "id", "_key", "out_weight", "parts"]
     for step in range(iterations):
-        held = state.select(*kept, F.col("rank").alias("_old"), F.lit(0.0).alias("_in"))
         senders = state.filter("out_weight > 0").select(
-            *by, F.col("id").alias("src"), (F.col("rank") / F.col("out_weight")).alias("_unit"),
+            *by, F.col("_key").alias("src"), (F.col("rank") / F.col("out_weight")).alias("_unit"),
             "parts",
         )
-        sums = (
-            _send(laid_out, senders, by, small)
-            .unionByName(held, allowMissingColumns=True)
-            .groupBy(*by, "id")
-            .agg(
-                F.sum("_in").alias("_in"), F.max("out_weight").alias("out_weight"),
-                F.max("parts").alias("parts"), F.max("_old").alias("_old"),
-            )
-        )
+        sent = (_send if small else _send_lists)(laid_out, senders, by, small)
+        received = sent.groupBy(*by, F.col("id").alias("_key")).agg(F.sum("_in").alias("_in"))
+        sums = state.select(*kept, F.col("rank").alias("_old")).join(
+            received, [*by, "_key"], "left").fillna(0.0, subset=["_in"])
         if scale == "probability":
             lost = state.groupBy(*by).agg(dangling.alias("_lost"))
             sums = with_size(with_fact(sums, lost))

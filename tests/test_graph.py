@@ -218,3 +218,24 @@ def test_chunk_features_are_true_means(spark):
     targets = graph.chunk_targets(chunks, "f0", n)
     pairs = graph.next_chunk_pairs(chunks, targets).collect()
     assert [(r.chunk, r.f0, r.target) for r in pairs] == [(0, 4.0, 3.0)]
+
+
+def test_ranks_of_many_vertices_join_a_row_per_source(spark, monkeypatch):
+    """Beyond the broadcast bound names are hashed and a hub's edges lie in several lists."""
+    pairs = [("hub", f"v{i}") for i in range(40)] + [(f"v{i}", f"v{i * 7 % 40}") for i in range(0, 40, 3)]
+    edges, seen, send = _edges(spark, pairs), [], graph._send_lists
+
+    def watched(lists, *rest):
+        seen.append((lists.count(), lists.schema["src"].dataType.simpleString()))
+        return send(lists, *rest)
+
+    monkeypatch.setattr(graph, "_send_lists", watched)
+    wanted = _as_dict(graph.pagerank(edges, iterations=3))
+    assert not seen
+    monkeypatch.setattr(graph, "LIST_SIZE", 10)
+    found = _as_dict(graph.pagerank(edges, iterations=3, broadcast_rows=0))
+    assert found == pytest.approx(wanted)
+    assert len(seen) == 3 and seen[0][1] == "bigint" and 14 + 2 <= seen[0][0] <= 14 + 4
+    monkeypatch.setattr(graph.F, "xxhash64", lambda *_: graph.F.lit(5).cast("long"))  # all alike
+    assert _as_dict(graph.pagerank(edges, iterations=3, broadcast_rows=0)) == pytest.approx(wanted)
+    assert seen[-1][1] == "string"
