@@ -1,6 +1,8 @@
 """Boosted trees on merged rows and grids that share fits."""
 
 import random
+import threading
+import time
 
 import pytest
 from pyspark.ml.feature import VectorAssembler
@@ -75,3 +77,21 @@ def test_grid_fits_settings_that_differ_in_trees_once(spark, monkeypatch):
     found = {r.setting: r.metric for r in scores.collect()}
     assert [found[str(s)] for s in grid] == pytest.approx(wanted)
     assert fits == [4, 4]
+
+
+def test_large_fits_run_one_after_the_other(spark):
+    lock, now, most = threading.Lock(), [0], [0]
+
+    def fit(i):
+        with lock:
+            now[0] += 1
+            most[0] = max(most[0], now[0])
+        time.sleep(0.05)
+        with lock:
+            now[0] -= 1
+        return i
+
+    assert models.fit_at_once(spark, fit, list(range(6)), models.ROWS_AT_ONCE + 1) == list(range(6))
+    assert most == [1]
+    models.fit_at_once(spark, fit, list(range(6)), 10)
+    assert most[0] == models.FITS_AT_ONCE
